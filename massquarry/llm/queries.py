@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from massquarry.llm import splits, topn
+from massquarry.llm import knn, splits, topn
 
 # What stands for a missing structure name, in any letter case.
 PLACEHOLDERS = ("", "-", "na", "n/a", "nan", "none", "null", "unknown")
@@ -48,7 +48,13 @@ def p2_splits(spark: SparkSession, d: str) -> DataFrame:
     return s.select(F.col("record").alias("row_offset"), F.substring("root", 2, 1_000_000).alias("group_key"), "split")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits)}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of similar train spectra of which one is among the five most similar of the other."""
+    n = knn.nearest(_table(spark, d, "train").select("row_offset", "ms2_mzs", "ms2_normalized_intensities"), "row_offset", "ms2_mzs", "ms2_normalized_intensities")
+    return n.select(F.least("id", "neighbour").alias("row_a"), F.greatest("id", "neighbour").alias("row_b")).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found)}
 
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
