@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from massquarry.llm import knn, splits, topn
+from massquarry.llm import knn, overlap, splits, topn
 
 # What stands for a missing structure name, in any letter case.
 PLACEHOLDERS = ("", "-", "na", "n/a", "nan", "none", "null", "unknown")
@@ -54,7 +54,28 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.least("id", "neighbour").alias("row_a"), F.greatest("id", "neighbour").alias("row_b")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found)}
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    cols = ["ms2_mzs", "ms2_normalized_intensities", "precursor_mz"]
+    test, train = _table(spark, d, "test").select("spectrum_id", *cols), _table(spark, d, "train").select("row_offset", *cols)
+    pairs = overlap.near_same(test, train, "spectrum_id", "row_offset", *cols)
+    return pairs.select(F.col("eval_id").alias("spectrum_id"), F.col("train_id").cast("long").alias("row_offset"), "similarity")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Test and train spectra that are the same or nearly the same measurement."""
+    return _overlaps(spark, d).select("spectrum_id", "row_offset")
+
+
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    """The overlaps counted per split and source: pairs, test spectra and train records involved."""
+    pairs = _overlaps(spark, d)
+    test = _table(spark, d, "test").groupBy(F.col("spectrum_id").alias("s__")).agg(F.min("eval_set").alias("eval_set"))
+    train = _table(spark, d, "train").groupBy(F.col("row_offset").alias("r__")).agg(F.min("ingest_lib").alias("ingest_lib"))
+    rows = pairs.join(test, F.col("spectrum_id") == F.col("s__")).join(train, F.col("row_offset") == F.col("r__"))
+    return rows.groupBy("eval_set", "ingest_lib").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("spectrum_id").alias("test_spectra"), F.countDistinct("row_offset").alias("train_records"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report)}
 
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
