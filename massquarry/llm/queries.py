@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from massquarry.llm import knn, overlap, splits, topn
+from massquarry.llm import knn, leakage, overlap, packing, quantiles, splits, topn
 
 # What stands for a missing structure name, in any letter case.
 PLACEHOLDERS = ("", "-", "na", "n/a", "nan", "none", "null", "unknown")
@@ -75,7 +77,53 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("eval_set", "ingest_lib").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("spectrum_id").alias("test_spectra"), F.countDistinct("row_offset").alias("train_records"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report)}
+_SHARES = {"p01": 0.01, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+#: Fixed value: the number that stands for a missing precursor error.
+_NO_ERROR = -999.0
+
+
+def _daily_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digests per library, adduct, instrument and day of first delivery; spelling variants of an instrument are one."""
+    t = _table(spark, d, "train").groupBy("row_offset").agg(*(F.first(c).alias(c) for c in ("ingest_lib", "adduct", "instrument_type", "precursor_error_ppm")), F.min("ingested_at").alias("at"))
+    t = t.where(F.col("precursor_error_ppm") != _NO_ERROR)
+    t = t.withColumns({"instrument_type": F.upper(F.regexp_replace("instrument_type", "[^A-Za-z0-9]", "")), "day": F.to_date("at")})
+    return quantiles.digests(t, ["ingest_lib", "adduct", "instrument_type", "day"], "precursor_error_ppm")
+
+
+def p7_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of the precursor error per library, adduct and instrument, merged from the digests of the days."""
+    keys = ["ingest_lib", "adduct", "instrument_type"]
+    return quantiles.percentiles(quantiles.merge(_daily_digests(spark, d), keys, 0.005), keys, _SHARES)
+
+
+def p7_daily(spark: SparkSession, d: str) -> DataFrame:
+    """The same per day."""
+    return quantiles.percentiles(_daily_digests(spark, d), ["ingest_lib", "adduct", "instrument_type", "day"], _SHARES)
+
+
+TOKENIZER = os.environ.get("MASSQUARRY_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
+def p8_packing(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in containers of 2,048 tokens."""
+    return packing.pack(_table(spark, d, "documents"), "doc_id", "text", TOKENIZER)
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(_table(spark, d, "documents"), _table(spark, d, "eval_items"), "doc_id", "item_id")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold twelve consecutive words of an item."""
+    return _leaks(spark, d).where("exact_windows > 0").select("doc_id", "item_id")
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Exact and re-parameterised windows per document and item."""
+    return _leaks(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p7_daily, p8_packing, p9_found, p9_report)}
 
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
