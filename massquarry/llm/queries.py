@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from massquarry.llm import knn, leakage, overlap, packing, quantiles, splits, topn
+from massquarry.llm import encoding, knn, leakage, overlap, packing, quantiles, splits, topn
 
 # What stands for a missing structure name, in any letter case.
 PLACEHOLDERS = ("", "-", "na", "n/a", "nan", "none", "null", "unknown")
@@ -123,7 +123,17 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p7_daily, p8_packing, p9_found, p9_report)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with garbled characters."""
+    return encoding.repair(_table(spark, d, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the text restored as far as can be told."""
+    return encoding.repair(_table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p7_daily, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
 
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
