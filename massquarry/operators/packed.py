@@ -1,8 +1,8 @@
 """Several values packed in one field: infer the delimiters of each source, split, explode with position.
 
 Candidates are scored per source on the fields in which they stand between two numbers:
-consistency - the share of those fields in which this candidate alone explains all pieces - and
-regularity - the share of pieces, split at this candidate, that hold exactly one number.
+consistency - the share of those fields in which this candidate alone explains the piece count - and
+regularity - the share of gaps between two numbers at which it cuts, so that each piece holds one number.
 A candidate is used for a source if the mean of both reaches `accept`; sources with fewer than `min_fields` such fields
 take the decision of all sources together.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from massquarry.workspace import fresh
+from massquarry.workspace import fresh, stage
 
 # Delimiters that occur between packed values, with the name under which they are scored.
 CANDIDATES = {
@@ -44,46 +44,39 @@ def _between(pattern: str) -> str:
     return rf"(?<=[\d.A-Za-z%)\]}}\"' ])\s*(?:{pattern})\s*"
 
 
-def _scores(fields: DataFrame, source: str, text: str) -> DataFrame:
-    """source, candidate, fields, score: one pass, aggregated before any shuffle."""
-    numbers = F.size(F.regexp_extract_all(F.col(text), F.lit(NUMBER), 0))
-    parts = []
+#: Text between two numbers; the second is only looked at.
+_GAP = rf"(?>{NUMBER})([^\d.][^\d]*?)(?=\.?\d)"
+
+
+def _kind(gap: Column) -> Column:
+    """The candidate that separates two numbers, null if none does; the first one found in the order of CANDIDATES."""
+    out = None
     for name, p in CANDIDATES.items():
-        pieces = F.split(F.col(text), _between(p))
-        counts = F.transform(pieces, lambda x: F.size(F.regexp_extract_all(x, F.lit(NUMBER), 0)))
-        held = F.filter(counts, lambda n: n > 0)
-        parts.append(F.when(F.size(held) > 1, F.struct(
-            F.lit(name).alias("candidate"),
-            (F.size(held) == numbers).cast("double").alias("consistent"),
-            (F.size(F.filter(held, lambda n: n == 1)) / F.size(held)).alias("regular"),
-        )))
-    rows = fields.select(source, F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("c"))
-    return rows.groupBy(source, F.col("c.candidate").alias("candidate")).agg(
-        F.count(F.lit(1)).alias("fields"), F.sum("c.consistent").alias("consistent"), F.sum("c.regular").alias("regular")
-    )
+        out = F.when(gap.rlike(p), name) if out is None else out.when(gap.rlike(p), name)
+    return out
 
 
 def infer_delimiters(df: DataFrame, text: str, source: str, accept: float = 0.5, min_fields: int = 30) -> DataFrame:
-    """One row per source and one with a null source for all sources together: the regular expression of its delimiters.
+    """source, pattern: the regular expression of the delimiters of each source, and in the row with a null source of
+    all sources together, which fields without a source use as well.
 
-    Null sources count as a source of their own in the totals only and use the common decision.
+    The gaps between a field's numbers are cut out once, and counted per source and candidate before the shuffle.
     """
-    s, t = "source", "text"
-    fields = df.select(F.col(source).alias(s), decimal_commas(F.col(text)).alias(t)).where(
-        F.size(F.regexp_extract_all(F.col(t), F.lit(NUMBER), 0)) > 1
-    )
-    own = _scores(fields, s, t)
-    total = own.groupBy("candidate").agg(*(F.sum(c).alias(f"all_{c}") for c in ("fields", "consistent", "regular")))
-    cells = own.where(F.col(s).isNotNull()).select(s).distinct().crossJoin(F.broadcast(total)).join(own, [s, "candidate"], "left")
-    enough = F.col("fields") >= min_fields
-    score = lambda c, r, n: (F.col(c) + F.col(r)) / (2 * F.col(n))
-    used = cells.withColumn("score", F.when(enough, score("consistent", "regular", "fields")).otherwise(score("all_consistent", "all_regular", "all_fields")))
-    common = total.select(F.lit(None).cast("string").alias(s), "candidate", score("all_consistent", "all_regular", "all_fields").alias("score"))
+    gaps = F.transform(F.regexp_extract_all(F.col("t"), F.lit(_GAP), 1), _kind)
+    fields = df.select(F.col(source).alias("source"), decimal_commas(F.col(text)).alias("t")).select("source", gaps.alias("g")).where(F.size("g") > 0)
+    cells = fields.select("source", F.size("g").alias("n"), "g", F.explode(F.array_distinct("g")).alias("candidate")).where(F.col("candidate").isNotNull())
+    own = F.size(F.filter("g", lambda x: x == F.col("candidate")))
+    cells = cells.select("source", "candidate", (own == F.col("n")).cast("double").alias("consistent"), (own / F.col("n")).alias("regular"))
+    # as many rows as sources times candidates; read twice below
+    counts = stage(cells.groupBy("source", "candidate").agg(F.count(F.lit(1)).alias("fields"), (F.sum("consistent") + F.sum("regular")).alias("points")), "delimiters")
     pattern = F.create_map(*(F.lit(x) for kv in CANDIDATES.items() for x in kv))
-    return (
-        used.select(s, "candidate", "score").unionByName(common).where(F.col("score") >= accept)
-        .groupBy(s).agg(F.array_join(F.array_sort(F.collect_set(pattern[F.col("candidate")])), "|").alias("pattern"))
-    )
+    total = counts.groupBy("candidate").agg(F.sum("fields").alias("all_fields"), F.sum("points").alias("all_points"))
+    common = total.select(F.lit(None).cast("string").alias("source"), "candidate", (F.col("all_points") / (2 * F.col("all_fields"))).alias("score"))
+    # CANDIDATES bounds the rows of `total`
+    cells = counts.where(F.col("source").isNotNull()).select("source").distinct().join(F.broadcast(total)).join(counts, ["source", "candidate"], "left")
+    score = F.when(F.col("fields") >= min_fields, F.col("points") / (2 * F.col("fields"))).otherwise(F.col("all_points") / (2 * F.col("all_fields")))
+    rows = cells.select("source", "candidate", score.alias("score")).unionByName(common).where(F.col("score") >= accept)
+    return rows.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set(pattern[F.col("candidate")])), "|").alias("pattern"))
 
 
 def split_packed(df: DataFrame, text: str, source: str, accept: float = 0.5, min_fields: int = 30) -> DataFrame:
@@ -95,15 +88,15 @@ def split_packed(df: DataFrame, text: str, source: str, accept: float = 0.5, min
     columns under a leading underscore (see massquarry.workspace.fresh).
     """
     step, n, piece, value, src, pat, cut = fresh(df, "step_no", "n_values", "piece", "value", "src__", "pattern__", "cut__")
-    rules = infer_delimiters(df, text, source, accept, min_fields).withColumnsRenamed({"source": src, "pattern": pat})
-    common = rules.where(F.col(src).isNull()).select(F.col(pat).alias(f"{pat}0"))
-    # one row per source: its number is checked by the planner before it broadcasts
+    rules = stage(infer_delimiters(df, text, source, accept, min_fields).withColumnsRenamed({"source": src, "pattern": pat}), "rules")
+    common = rules.where(F.col(src).isNull()).select(F.col(pat).alias(f"{pat}0"))  # one row
+    # one row per source: a table read from files, whose size the planner checks before it broadcasts
     out = df.join(rules.where(F.col(src).isNotNull()), F.col(source) == F.col(src), "left").join(F.broadcast(common), how="left")
     p = F.coalesce(F.col(pat), F.col(f"{pat}0"), F.lit("(?!)"))
     t = F.regexp_replace(decimal_commas(F.col(text)), _BLANK, f"$1{CUT}")
     t = F.regexp_replace(t, F.concat(F.lit(r"(?<=[\d.A-Za-z%)\]}\"' " + CUT + r"])\s*(?:"), p, F.lit(r")\s*")), F.lit(CUT))
     pieces = F.filter(F.split(t, CUT), lambda x: x.rlike(r"\d"))
-    out = out.withColumn(cut, pieces).where(F.size(cut) > 0).withColumn(n, F.size(cut))
+    out = out.withColumn(cut, pieces).withColumn(n, F.size(cut))
     out = out.select("*", F.posexplode(cut).alias(step, piece)).withColumn(step, F.col(step) + 1)
     one = F.size(F.regexp_extract_all(F.col(piece), F.lit(NUMBER), 0)) == 1
     out = out.withColumn(value, F.when(one, F.regexp_extract(piece, NUMBER, 0).cast("double")))
