@@ -1,6 +1,6 @@
 """Registered queries and their SQL."""
 
-from massquarry.plans import preparation
+from massquarry.plans import evidence, preparation, search
 
-QUERIES = {**preparation.QUERIES}
-ORACLE = {**preparation.ORACLE}
+QUERIES = {**search.QUERIES, **evidence.QUERIES, **preparation.QUERIES}
+ORACLE = {**search.ORACLE, **evidence.ORACLE, **preparation.ORACLE}
