@@ -1,6 +1,7 @@
 """Registered queries and their SQL."""
 
-from massquarry.plans import evidence, preparation, search
+from massquarry.plans import analysis, evidence, preparation, search
 
-QUERIES = {**search.QUERIES, **evidence.QUERIES, **preparation.QUERIES}
-ORACLE = {**search.ORACLE, **evidence.ORACLE, **preparation.ORACLE}
+_MODULES = (search, evidence, analysis, preparation)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}
