@@ -7,6 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from massquarry.llm import encoding, knn, leakage, overlap, packing, quantiles, splits, topn
+from massquarry.workspace import stage
 
 # What stands for a missing structure name, in any letter case.
 PLACEHOLDERS = ("", "-", "na", "n/a", "nan", "none", "null", "unknown")
@@ -91,14 +92,12 @@ def _daily_digests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles of the precursor error per library, adduct and instrument, merged from the digests of the days."""
+    """Percentiles of the precursor error per library, adduct and instrument: of every day, and of all days (day is null),
+    whose digests are the sums of the days' digests."""
     keys = ["ingest_lib", "adduct", "instrument_type"]
-    return quantiles.percentiles(quantiles.merge(_daily_digests(spark, d), keys, 0.005), keys, _SHARES)
-
-
-def p7_daily(spark: SparkSession, d: str) -> DataFrame:
-    """The same per day."""
-    return quantiles.percentiles(_daily_digests(spark, d), ["ingest_lib", "adduct", "instrument_type", "day"], _SHARES)
+    days = stage(_daily_digests(spark, d), "days")
+    whole = quantiles.percentiles(quantiles.merge(days, keys, 0.005), keys, _SHARES).withColumn("day", F.lit(None).cast("date"))
+    return quantiles.percentiles(days, [*keys, "day"], _SHARES).unionByName(whole)
 
 
 TOKENIZER = os.environ.get("MASSQUARRY_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -133,7 +132,7 @@ def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
     return encoding.repair(_table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p7_daily, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
 
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
