@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from massquarry.workspace import stage
+
 
 def usable(mass: Column) -> Column:
     return mass.isNotNull() & ~F.isnan(mass) & (mass > 0)
@@ -52,13 +54,14 @@ def nearest_variant(pool: DataFrame, query: str, key: str) -> DataFrame:
 def fallback_search(queries: DataFrame, library: DataFrame, query: str, query_mass: str, key: str, mass: str, levels: list[float], nearest: int = 0, widest: float = 2000.0) -> DataFrame:
     """Window search that widens for the queries without a hit, and at last takes the `nearest` keys within `widest`;
     one row per (query, key) with its level."""
-    out, open_queries = None, queries
+    out, open_queries = None, stage(queries, "queries")
     for level in [*levels, *([widest] if nearest else [])]:
         hits = window_join(open_queries, library, query_mass, mass, ppm=level)
         hits = hits.groupBy(query, key).agg(F.min("abs_mass_error_ppm").alias("abs_mass_error_ppm")).withColumn("level_ppm", F.lit(float(level)))
         if nearest and level == widest:
             w = W.partitionBy(query).orderBy("abs_mass_error_ppm", key)
             hits = hits.withColumn("r__", F.row_number().over(w)).where(F.col("r__") <= nearest).drop("r__")
+        hits = stage(hits, "level")  # read by the result and by all later levels
         out = hits if out is None else out.unionByName(hits)
         open_queries = open_queries.join(hits.select(F.col(query).alias("h__")).distinct(), F.col(query) == F.col("h__"), "left_anti")
     return out

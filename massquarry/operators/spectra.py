@@ -114,6 +114,18 @@ def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: floa
     return left.join(r, "bin").groupBy(a, b).agg(F.sum(F.col("value") * F.col("other")).alias("cosine")).where(F.col("cosine") >= least)
 
 
+def entropy_of_pairs(pairs: DataFrame, sums: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """pairs with entropy_similarity, 1 - (2 H(mixed) - H(a) - H(b)) / ln 4 over the shares per bin; sums as made by
+    binned without normalising. Written over common bins only: bins of one side cancel in the difference."""
+    total = sums.groupBy(F.col(key).alias("k__")).agg(F.sum("value").alias("t__"))
+    p = sums.join(total, F.col(key) == F.col("k__")).where("t__ > 0 and value > 0").select(key, "bin", (F.col("value") / F.col("t__")).alias("p"))
+    x = pairs.select(a, b).join(p.select(F.col(key).alias(a), "bin", F.col("p").alias("p")), a).join(p.select(F.col(key).alias(b), "bin", F.col("p").alias("q")), [b, "bin"])
+    h = lambda v: v * F.log(v)
+    s = F.col("p") + F.col("q")
+    common = x.groupBy(a, b).agg((F.sum(h(s) - h(F.col("p")) - h(F.col("q"))) / F.log(F.lit(4.0))).alias("entropy_similarity"))
+    return pairs.select(a, b).join(common, [a, b], "left").withColumn("entropy_similarity", F.coalesce("entropy_similarity", F.lit(0.0)))
+
+
 def losses(p: Column, precursor: Column) -> Column:
     """Neutral losses of the peaks below the precursor, as peaks."""
     return F.array_sort(F.transform(F.filter(p, lambda x: x["mz"] < precursor), lambda x: F.struct((precursor - x["mz"]).alias("mz"), x["intensity"].alias("intensity"))))
