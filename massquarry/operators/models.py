@@ -74,9 +74,9 @@ def _as_json(node, features: list[str], weight: float) -> dict:
 def fit(df: DataFrame, features: list[str], label: str, trees: int = 20, depth: int = 4, seed: int = 1) -> dict:
     """Boosted regression trees on the label (0 or 1), as JSON. Nulls and NaN are given as -1, outside of all features' ranges."""
     assert_allowed(features)
-    x = df.select(F.col(label).cast("double").alias("y"), *(F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(-1.0)), F.lit(-1.0)).alias(f) for f in features))
-    v = VectorAssembler(inputCols=features, outputCol="x").transform(x)
-    m = GBTRegressor(featuresCol="x", labelCol="y", maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.2).fit(v)
+    x = df.select(F.col(label).cast("double").alias("label__"), *(F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(-1.0)), F.lit(-1.0)).alias(f) for f in features))
+    v = VectorAssembler(inputCols=features, outputCol="features__").transform(x)
+    m = GBTRegressor(featuresCol="features__", labelCol="label__", maxIter=trees, maxDepth=depth, seed=seed, stepSize=0.2).fit(v)
     out = []
     for t, w in zip(m.trees, m.treeWeights, strict=True):
         tree = _as_json(t._call_java("rootNode"), features, w)

@@ -108,10 +108,21 @@ def cosine_of_pairs(pairs: DataFrame, left: DataFrame, right: DataFrame, a: str,
     return pairs.join(dots, [a, b], "left").withColumn("cosine", F.coalesce("cosine", F.lit(0.0)))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: float) -> DataFrame:
-    """All pairs that share a bin and reach the cosine `least`: a join of inverted lists, summed."""
-    r = right.withColumnRenamed("value", "other")
-    return left.join(r, "bin").groupBy(a, b).agg(F.sum(F.col("value") * F.col("other")).alias("cosine")).where(F.col("cosine") >= least)
+def similar_pairs(left: DataFrame, right: DataFrame, a: str, b: str, least: float, same: tuple[str, ...] = (), near: str | None = None, width: float = 0.0) -> DataFrame:
+    """All pairs that share a bin and reach the cosine `least`: a join of inverted lists, summed. Pairs must agree in the
+    columns `same`, and differ in `near` by no more than `width`; both become part of the join's key, which is what keeps
+    long lists of common bins apart."""
+    r = right.select(b, "bin", F.col("value").alias("other"), *(F.col(c).alias(f"{c}__r") for c in (*same, *([near] if near else []))))
+    on = F.col("bin") == F.col("bin__r")
+    r = r.withColumnRenamed("bin", "bin__r")
+    for c in same:
+        on &= F.col(c) == F.col(f"{c}__r")
+    if near:
+        slot = lambda c: F.floor(F.col(c) / width)
+        left = left.withColumn("slot__", F.explode(F.sequence(slot(near) - 1, slot(near) + 1)))
+        r = r.withColumn("slot__r", slot(f"{near}__r"))
+        on &= (F.col("slot__") == F.col("slot__r")) & (F.abs(F.col(near) - F.col(f"{near}__r")) <= width)
+    return left.join(r, on).groupBy(a, b).agg(F.sum(F.col("value") * F.col("other")).alias("cosine")).where(F.col("cosine") >= least)
 
 
 def entropy_of_pairs(pairs: DataFrame, sums: DataFrame, key: str, a: str, b: str) -> DataFrame:
@@ -134,8 +145,8 @@ def losses(p: Column, precursor: Column) -> Column:
 def peak_hash(p: Column, precursor: Column) -> Column:
     """sha256 of the canonical text of a spectrum: m/z to 4, max-scaled intensities and precursor to 3 decimals, rounded
     half to even, zero intensities dropped."""
-    text = F.transform(F.filter(scaled(p, "max"), lambda x: F.bround(x["intensity"], 3) > 0), lambda x: F.concat_ws(":", F.format_number(F.bround(x["mz"], 4), "0.0000"), F.format_number(F.bround(x["intensity"], 3), "0.000")))
-    return F.sha2(F.concat_ws("|", F.array_join(text, ";"), F.format_number(F.bround(precursor, 3), "0.000")), 256)
+    text = F.transform(F.filter(scaled(p, "max"), lambda x: F.bround(x["intensity"], 3) > 0), lambda x: F.concat_ws(":", F.bround(x["mz"], 4).cast("decimal(24,4)").cast("string"), F.bround(x["intensity"], 3).cast("decimal(24,3)").cast("string")))
+    return F.sha2(F.concat_ws("|", F.array_join(text, ";"), F.bround(precursor, 3).cast("decimal(24,3)").cast("string")), 256)
 
 
 def energies(ev: Column) -> dict[str, Column]:

@@ -99,12 +99,14 @@ def q51b_tanimoto_bits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q52_analog_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The three most similar train spectra of each test spectrum with the same polarity, by binned cosine from 0.3."""
-    q = D.test_spectra(spark, d).select(F.col("spectrum_id").alias("q"), F.col("ionization_mode").alias("mode"), "peaks")
-    t = _train(spark, d, "ionization_mode", "ms2_mzs", "ms2_normalized_intensities").select(F.col("row_offset").alias("r"), F.col("ionization_mode").alias("mode"), spectra.peaks(F.col("ms2_mzs"), F.col("ms2_normalized_intensities")).alias("peaks"))
-    a, b = spectra.binned(q, ["q"], F.col("peaks")), spectra.binned(t, ["r"], F.col("peaks"))
-    s = spectra.similar_pairs(a, b, "q", "r", 0.300001)
-    s = s.join(q.select("q", "mode"), "q").join(t.select("r", F.col("mode").alias("m2")), "r").where(F.col("mode") == F.col("m2")).withColumn("cosine", F.round("cosine", 6))
+    """The three most similar train spectra of each test spectrum with the same polarity and a precursor within 20 Da, by
+    binned cosine from 0.3."""
+    ok = F.col("precursor_mz") > 0
+    q = D.test_spectra(spark, d).where(ok).select(F.col("spectrum_id").alias("q"), F.col("ionization_mode").alias("mode"), "precursor_mz", "peaks")
+    t = _train(spark, d, "ionization_mode", "precursor_mz", "ms2_mzs", "ms2_normalized_intensities").where(ok)
+    t = t.select(F.col("row_offset").alias("r"), F.col("ionization_mode").alias("mode"), "precursor_mz", spectra.peaks(F.col("ms2_mzs"), F.col("ms2_normalized_intensities")).alias("peaks"))
+    a, b = spectra.binned(q, ["q", "mode", "precursor_mz"], F.col("peaks")), spectra.binned(t, ["r", "mode", "precursor_mz"], F.col("peaks"))
+    s = spectra.similar_pairs(a, b, "q", "r", 0.300001, ("mode",), "precursor_mz", 20.0).withColumn("cosine", F.round("cosine", 6))
     return ranking.rank_by_keys(s, [("cosine", False), ("r", True)], "q").where("rank <= 3").select(F.col("q").alias("spectrum_id"), F.col("r").alias("row_offset"), "cosine", "rank")
 
 
@@ -213,10 +215,10 @@ ORACLE = {
     "q65_auc": "WITH s AS (SELECT score, count(CASE WHEN is_true_candidate THEN 1 END) AS p, count(CASE WHEN NOT is_true_candidate THEN 1 END) AS n FROM candidate_pool WHERE is_true_candidate IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) GROUP BY 1), u AS (SELECT p, n, p * (sum(n) OVER (ORDER BY score) - n + n / 2) AS u FROM s) SELECT sum(p)::BIGINT AS n_pos, sum(n)::BIGINT AS n_neg, round(sum(u) / (sum(p) * sum(n)), 6) AS auc FROM u",
     "q66_precursor_outliers": """WITH t AS (SELECT DISTINCT row_offset, log10(base_peak_intensity) AS x FROM train WHERE base_peak_intensity > 0 AND NOT isnan(base_peak_intensity)), m AS (SELECT median(x) AS med FROM t), a AS (SELECT med, median(abs(x - med)) AS mad FROM t, m GROUP BY 1)
  SELECT row_offset, round((x - med) / (mad * 1.4826), 6) AS robust_z FROM t, a WHERE abs((x - med) / (mad * 1.4826)) > 2.0""",
-    "q52_analog_topk": """WITH tp AS (SELECT spectrum_id AS id, ionization_mode AS mode, unnest(ms2_mzs) AS m, unnest(ms2_normalized_intensities) AS i FROM (SELECT DISTINCT spectrum_id, ionization_mode, ms2_mzs, ms2_normalized_intensities FROM test) WHERE len(ms2_mzs) = len(ms2_normalized_intensities)),
- rp AS (SELECT row_offset AS id, ionization_mode AS mode, unnest(ms2_mzs) AS m, unnest(ms2_normalized_intensities) AS i FROM (SELECT DISTINCT row_offset, ionization_mode, ms2_mzs, ms2_normalized_intensities FROM train) WHERE len(ms2_mzs) = len(ms2_normalized_intensities)),
- tb0 AS (SELECT id, mode, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM tp WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m >= 0 AND i >= 0 GROUP BY 1, 2, 3), rb0 AS (SELECT id, mode, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM rp WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m >= 0 AND i >= 0 GROUP BY 1, 2, 3),
- tb AS (SELECT id, mode, bin, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM tb0 QUALIFY sum(v * v) OVER (PARTITION BY id) > 0), rb AS (SELECT id, mode, bin, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM rb0 QUALIFY sum(v * v) OVER (PARTITION BY id) > 0),
- s AS (SELECT tb.id AS q, rb.id AS r, sum(tb.w * rb.w) AS c FROM tb JOIN rb ON tb.bin = rb.bin AND tb.mode = rb.mode GROUP BY 1, 2 HAVING sum(tb.w * rb.w) >= 0.300001)
+    "q52_analog_topk": """WITH tp AS (SELECT spectrum_id AS id, ionization_mode AS mode, precursor_mz AS p, unnest(ms2_mzs) AS m, unnest(ms2_normalized_intensities) AS i FROM (SELECT DISTINCT spectrum_id, ionization_mode, precursor_mz, ms2_mzs, ms2_normalized_intensities FROM test WHERE precursor_mz > 0) WHERE len(ms2_mzs) = len(ms2_normalized_intensities)),
+ rp AS (SELECT row_offset AS id, ionization_mode AS mode, precursor_mz AS p, unnest(ms2_mzs) AS m, unnest(ms2_normalized_intensities) AS i FROM (SELECT DISTINCT row_offset, ionization_mode, precursor_mz, ms2_mzs, ms2_normalized_intensities FROM train WHERE precursor_mz > 0) WHERE len(ms2_mzs) = len(ms2_normalized_intensities)),
+ tb0 AS (SELECT id, mode, p, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM tp WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m >= 0 AND i >= 0 GROUP BY 1, 2, 3, 4), rb0 AS (SELECT id, mode, p, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM rp WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m >= 0 AND i >= 0 GROUP BY 1, 2, 3, 4),
+ tb AS (SELECT id, mode, p, bin, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM tb0 QUALIFY sum(v * v) OVER (PARTITION BY id) > 0), rb AS (SELECT id, mode, p, bin, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM rb0 QUALIFY sum(v * v) OVER (PARTITION BY id) > 0),
+ s AS (SELECT tb.id AS q, rb.id AS r, sum(tb.w * rb.w) AS c FROM tb JOIN rb ON tb.bin = rb.bin AND tb.mode = rb.mode AND abs(tb.p - rb.p) <= 20.0 GROUP BY 1, 2 HAVING sum(tb.w * rb.w) >= 0.300001)
  SELECT * FROM (SELECT q AS spectrum_id, r AS row_offset, round(c, 6) AS cosine, row_number() OVER (PARTITION BY q ORDER BY round(c, 6) DESC, r) AS rank FROM s) WHERE rank <= 3""",
 }

@@ -110,6 +110,20 @@ def q24_pair_features_top3(spark: SparkSession, d: str) -> DataFrame:
     return f.select(*PAIR, R("abs_mass_error_ppm"), "n_reference_spectra", "has_reference_spectrum", *(R(f"{m}_{k}") for m in references.METRICS for k in ("max", "top3_mean")))
 
 
+def q20_identity_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """Test spectra and train spectra with precursors within 0.01 and a cosine from 0.6, by identity tier."""
+    q = D.test_spectra(spark, d).where(F.col("precursor_mz") > 0).select(F.col("spectrum_id").alias("q"), F.col("ionization_mode").alias("q_mode"), F.col("adduct").alias("q_adduct"), F.col("precursor_mz").alias("q_precursor"), F.col("peaks").alias("q_peaks"))
+    r = D.table(spark, d, "train").where(F.col("precursor_mz") > 0).dropDuplicates(["row_offset"])
+    r = r.select(F.col("row_offset").alias("r"), F.col("ionization_mode").alias("r_mode"), F.col("adduct").alias("r_adduct"), F.col("precursor_mz").alias("r_precursor"), spectra.peaks(F.col("ms2_mzs"), F.col("ms2_normalized_intensities")).alias("r_peaks"))
+    a = spectra.binned(q.withColumnRenamed("q_precursor", "pm"), ["q", "pm"], F.col("q_peaks"))
+    b = spectra.binned(r.withColumnRenamed("r_precursor", "pm"), ["r", "pm"], F.col("r_peaks"))
+    s = spectra.similar_pairs(a, b, "q", "r", 0.6, (), "pm", 0.01)
+    h = lambda x: spectra.peak_hash(F.col(f"{x}_peaks"), F.col(f"{x}_precursor")).alias(f"{x}_hash")
+    rows = s.join(q.select("*", h("q")), "q").join(r.select("*", h("r")), "r")
+    t = references.identity_tier(rows)
+    return t.select(F.col("q").alias("spectrum_id"), F.col("r").alias("row_offset"), R("cosine"), "tier")
+
+
 def _aggregator(name: str):
     def q(spark: SparkSession, d: str) -> DataFrame:
         a = molecules.aggregate(D.molecule_rankings(spark, d), name)
