@@ -134,10 +134,22 @@ def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
 
+def _usable(name: str, id_col: str) -> str:
+    """SQL of the usable spectra's bins, scaled to length one."""
+    return f"""{name}0 AS (SELECT DISTINCT {id_col} AS id, precursor_mz AS p, ms2_mzs AS m, ms2_normalized_intensities AS i FROM {name} WHERE len(ms2_mzs) = len(ms2_normalized_intensities)),
+ {name}1 AS (SELECT id, p, m, i FROM (SELECT id, p, unnest(m) AS m, unnest(i) AS i FROM {name}0) WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m > 0 AND i > 0 QUALIFY count(*) OVER (PARTITION BY id) >= 5),
+ {name}2 AS (SELECT id, p, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM {name}1 GROUP BY 1, 2, 3), {name}3 AS (SELECT id, p, bin, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS w FROM {name}2)"""
+
+
 ORACLE = {
     "p1_found": """SELECT molecule_id, candidate_connectivity_key FROM (
   SELECT molecule_id, candidate_connectivity_key, row_number() OVER (PARTITION BY molecule_id ORDER BY score DESC, candidate_connectivity_key) AS r
   FROM (SELECT s.molecule_id, c.candidate_connectivity_key, max(c.score) AS score
         FROM candidate_pool c JOIN (SELECT DISTINCT molecule_id, spectrum_id FROM test WHERE molecule_id IS NOT NULL) s ON c.query_id = s.spectrum_id
         WHERE c.score IS NOT NULL AND NOT isnan(c.score) AND c.candidate_connectivity_key IS NOT NULL GROUP BY ALL)) WHERE r <= 10""",
+    "p5_found": f"""WITH {_usable('test', 'spectrum_id')}, {_usable('train', 'row_offset')}
+ SELECT t.id AS spectrum_id, r.id AS row_offset FROM test3 t JOIN train3 r ON t.bin = r.bin AND abs(t.p - r.p) < 0.01 GROUP BY 1, 2 HAVING round(sum(t.w * r.w), 6) > 0.95""",
+    "p9_found": """WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents), e AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+ dw AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 10, 1))) r(k)), ew AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM e, unnest(range(1, greatest(len(w) - 10, 1))) r(k))
+ SELECT DISTINCT doc_id, item_id FROM dw JOIN ew USING (g)""",
 }
