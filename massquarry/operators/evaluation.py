@@ -169,3 +169,17 @@ def marginal_weights(pool: DataFrame, target: DataFrame, dims: list[str], low: f
 
 def effective_size(df: DataFrame, weight: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), (F.pow(F.sum(weight), F.lit(2)) / F.sum(F.col(weight) * F.col(weight))).alias("n_effective"))
+
+
+def pair_dataset(df: DataFrame, key_id: str, truth: str, context: list[str], seed: str) -> DataFrame:
+    """anchor, other, kind: for every record one hashed partner of the same structure (positive), and one of another
+    structure with the same context (negative). Partners are neighbours in a hashed order, so no group is paired with
+    itself in full."""
+    from massquarry.operators.statistics import unit_hash
+
+    u = unit_hash(F.col(key_id), seed)
+    rows = df.where(F.col(truth).isNotNull()).select(key_id, truth, *context, u.alias("u__"))
+    nxt = lambda keys: F.lead(F.struct(F.col(key_id).alias("i"), F.col(truth).alias("t"))).over(W.partitionBy(*keys).orderBy("u__", key_id))
+    pos = rows.withColumn("p", nxt([truth])).where(F.col("p").isNotNull()).select(F.col(key_id).alias("anchor"), F.col("p.i").alias("other"), F.lit("positive").alias("kind"))
+    neg = rows.withColumn("p", nxt(context)).where(F.col("p").isNotNull() & (F.col("p.t") != F.col(truth))).select(F.col(key_id).alias("anchor"), F.col("p.i").alias("other"), F.lit("negative").alias("kind"))
+    return pos.unionByName(neg)

@@ -18,9 +18,10 @@ def usable(mass: Column) -> Column:
     return mass.isNotNull() & ~F.isnan(mass) & (mass > 0)
 
 
-def window_join(queries: DataFrame, library: DataFrame, query_mass: str, mass: str, ppm: float | None = None, ppm_col: str | None = None, max_ppm: float | None = None, da: float | None = None) -> DataFrame:
+def window_join(queries: DataFrame, library: DataFrame, query_mass: str, mass: str, ppm: float | None = None, ppm_col: str | None = None, max_ppm: float | None = None, da: float | None = None, relative: str = "query") -> DataFrame:
     """All pairs with |mass - query mass| within the tolerance, both ends included, with mass_error_da, mass_error_ppm and
-    abs_mass_error_ppm. Exactly one of ppm, ppm_col (with max_ppm) and da; ppm is relative to the query's mass.
+    abs_mass_error_ppm. Exactly one of ppm, ppm_col (with max_ppm) and da; ppm is relative to the query's mass, or with
+    relative="candidate" to the candidate's, as first-generation rankings have it.
 
     Masses that are null, NaN or not positive, and null tolerances, match nothing."""
     if sum(x is not None for x in (ppm, ppm_col, da)) != 1 or (ppm_col is not None and max_ppm is None):
@@ -31,17 +32,20 @@ def window_join(queries: DataFrame, library: DataFrame, query_mass: str, mass: s
         low, high = q - F.lit(float(da)), q + F.lit(float(da))
     else:
         t = max(ppm if ppm is not None else max_ppm, 1e-6) * 1e-6
-        width = math.log((1 + t) / (1 - t))
+        # a window relative to the candidate reaches a little beyond one relative to the query
+        width = math.log((1 + t) / (1 - t)) * (1 + t)
         bucket = lambda x: F.floor(F.log(x) / width)
         tol = F.lit(float(ppm)) if ppm is not None else F.col(ppm_col)
-        low, high = q - q * tol * 1e-6, q + q * tol * 1e-6
+        base = m if relative == "candidate" else q
+        low, high = q - base * tol * 1e-6, q + base * tol * 1e-6
     left = queries.where(usable(q)).withColumn("b__", F.explode(F.sequence(bucket(q) - 1, bucket(q) + 1)))
     if ppm_col is not None:
         left = left.where(F.col(ppm_col).isNotNull() & (F.col(ppm_col) <= max_ppm))
     right = library.where(usable(m)).withColumn("c__", bucket(m))
     out = left.join(right, F.col("b__") == F.col("c__")).where((m >= low) & (m <= high)).drop("b__", "c__")
     err = m - q
-    return out.withColumns({"mass_error_da": err, "mass_error_ppm": err / q * 1e6, "abs_mass_error_ppm": F.abs(err / q * 1e6)})
+    ppm_error = err / (m if relative == "candidate" else q) * 1e6
+    return out.withColumns({"mass_error_da": err, "mass_error_ppm": ppm_error, "abs_mass_error_ppm": F.abs(ppm_error)})
 
 
 def nearest_variant(pool: DataFrame, query: str, key: str) -> DataFrame:

@@ -38,6 +38,19 @@ def numeric_shift(df: DataFrame, group: str, value: str, sides: tuple[str, str])
     return r.agg(F.max("na").alias("n_a"), F.max("nb").alias("n_b"), F.max("d").alias("ks"), F.sum(F.col("d") * F.coalesce("gap", F.lit(0.0))).alias("wasserstein"))
 
 
+def weighted_ks(df: DataFrame, group: str, value: str, weight: str, sides: tuple[str, str], strata: str, min_rows: int = 20) -> DataFrame:
+    """Per stratum the greatest distance between the weighted distribution functions of two groups; strata with fewer
+    than min_rows rows of either group have none."""
+    a, b = sides
+    v = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & F.col(group).isin(a, b) & (F.col(weight) > 0))
+    one = lambda s, x: F.sum(F.when(F.col(group) == s, x).otherwise(0.0))
+    s = v.groupBy(strata, F.col(value).alias("v")).agg(one(a, F.col(weight)).alias("a"), one(b, F.col(weight)).alias("b"), one(a, F.lit(1.0)).alias("na"), one(b, F.lit(1.0)).alias("nb"))
+    w = W.partitionBy(strata)
+    part = lambda c: F.sum(c).over(w.orderBy("v")) / F.nullif(F.sum(c).over(w), F.lit(0.0))
+    d = s.select(strata, "na", "nb", F.abs(part("a") - part("b")).alias("d"))
+    return d.groupBy(strata).agg(F.sum("na").cast("long").alias("n_a"), F.sum("nb").cast("long").alias("n_b"), F.max("d").alias("ks")).where((F.col("n_a") >= min_rows) & (F.col("n_b") >= min_rows))
+
+
 def categorical_shift(df: DataFrame, group: str, value: str, sides: tuple[str, str]) -> DataFrame:
     """Jensen-Shannon distance (base 2) and total variation between the category shares of two groups."""
     a, b = sides

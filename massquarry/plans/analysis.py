@@ -32,6 +32,18 @@ def q38_js(spark: SparkSession, d: str) -> DataFrame:
     return s.select("n_categories", R("js_distance"), R("tv_distance"))
 
 
+def q39_weighted_ks(spark: SparkSession, d: str) -> DataFrame:
+    k = statistics.weighted_ks(D.table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity", ("A", "R"), "l_linestatus")
+    return k.select("l_linestatus", "n_a", "n_b", R("ks"))
+
+
+def q76_pair_dataset(spark: SparkSession, d: str) -> DataFrame:
+    from massquarry.operators import evaluation
+
+    t = _train(spark, d, "inchikey14", "ionization_mode", "adduct").select("row_offset", structures.inchikey14(F.col("inchikey14")).alias("k"), "ionization_mode", "adduct")
+    return evaluation.pair_dataset(t, "row_offset", "k", ["ionization_mode", "adduct"], "p1")
+
+
 def q40_weighted_quantile(spark: SparkSession, d: str) -> DataFrame:
     return statistics.weighted_quantile(D.table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", "l_quantity", 0.9)
 
@@ -184,6 +196,11 @@ ORACLE = {
     "q37b_ks_precursor": "WITH s AS (SELECT v, count(CASE WHEN side = 1 THEN 1 END) AS a, count(CASE WHEN side = 2 THEN 1 END) AS b FROM (SELECT 1 AS side, precursor_mz AS v FROM (SELECT DISTINCT row_offset, precursor_mz FROM train) UNION ALL SELECT 2, precursor_mz FROM (SELECT DISTINCT spectrum_id, precursor_mz FROM test)) WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY 1)" + _SHIFT,
     "q38_js": """WITH c AS (SELECT source, count(CASE WHEN lang = 'en' THEN 1 END) AS a, count(CASE WHEN lang = 'de' THEN 1 END) AS b FROM documents WHERE source IS NOT NULL AND lang IN ('en', 'de') GROUP BY 1), s AS (SELECT a / sum(a) OVER () AS p, b / sum(b) OVER () AS q FROM c)
  SELECT count(*) AS n_categories, round(sqrt(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 6) AS js_distance, round(sum(abs(p - q)) / 2, 6) AS tv_distance FROM s""",
+    "q39_weighted_ks": """WITH s AS (SELECT l_linestatus, l_extendedprice AS v, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS a, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS b, count(CASE WHEN l_returnflag = 'A' THEN 1 END) AS na, count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS nb FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_quantity > 0 GROUP BY 1, 2),
+ d AS (SELECT *, abs(sum(a) OVER o / sum(a) OVER w - sum(b) OVER o / sum(b) OVER w) AS d FROM s WINDOW w AS (PARTITION BY l_linestatus), o AS (PARTITION BY l_linestatus ORDER BY v)) SELECT l_linestatus, sum(na)::BIGINT AS n_a, sum(nb)::BIGINT AS n_b, round(max(d), 6) AS ks FROM d GROUP BY 1 HAVING sum(na) >= 20 AND sum(nb) >= 20""",
+    "q76_pair_dataset": f"""WITH t AS (SELECT row_offset AS i, k, m, a, {_U('i', 'p1')} AS u FROM (SELECT DISTINCT row_offset AS i, row_offset, {D.IK} AS k, ionization_mode AS m, adduct AS a FROM train) WHERE k IS NOT NULL),
+ n AS (SELECT i, k, lead(i) OVER (PARTITION BY k ORDER BY u, i) AS p, lead(i) OVER c AS q, lead(k) OVER c AS qk FROM t WINDOW c AS (PARTITION BY m, a ORDER BY u, i))
+ SELECT i AS anchor, p AS other, 'positive' AS kind FROM n WHERE p IS NOT NULL UNION ALL SELECT i, q, 'negative' FROM n WHERE q IS NOT NULL AND qk <> k""",
     "q40_weighted_quantile": "WITH s AS (SELECT l_returnflag, l_extendedprice AS v, sum(l_quantity) AS w FROM lineitem WHERE l_quantity > 0 GROUP BY 1, 2), r AS (SELECT *, sum(w) OVER (PARTITION BY l_returnflag ORDER BY v) / sum(w) OVER (PARTITION BY l_returnflag) AS run FROM s) SELECT l_returnflag, min(v) AS quantile FROM r WHERE run >= 0.9 - 1e-12 GROUP BY 1",
     "q41_cell_reweight": "WITH p AS (SELECT adduct, count(*) AS np FROM (SELECT DISTINCT row_offset, adduct FROM train) WHERE adduct IS NOT NULL GROUP BY 1), t AS (SELECT adduct, count(*) AS nt FROM (SELECT DISTINCT spectrum_id, adduct FROM test) WHERE adduct IS NOT NULL GROUP BY 1) SELECT adduct, round(least(greatest((coalesce(nt, 0) / (SELECT sum(nt) FROM t)) / (np / (SELECT sum(np) FROM p)), 0.1), 10.0), 6) AS weight FROM p LEFT JOIN t USING (adduct)",
     "q43_stratified_rollup": "SELECT ionization_mode, ingest_lib, grouping_id(ionization_mode, ingest_lib)::INT AS level, count(*) AS n, round(avg(num_peaks), 6) AS mean_peaks FROM (SELECT DISTINCT row_offset, ionization_mode, ingest_lib, num_peaks FROM train) GROUP BY ROLLUP (ionization_mode, ingest_lib)",

@@ -38,6 +38,11 @@ def q02b_band_join_da(spark: SparkSession, d: str) -> DataFrame:
     return h.select("query_id", "mass_variant_id", R("mass_error_da"))
 
 
+def q02c_window_of_candidate_mass(spark: SparkSession, d: str) -> DataFrame:
+    h = retrieval.window_join(D.test_queries(spark, d), D.library(spark, d), "neutral_mass", "exact_mass", ppm=33.0, relative="candidate")
+    return h.select("query_id", "mass_variant_id", R("abs_mass_error_ppm"))
+
+
 def _pool(spark: SparkSession, d: str, ppm: float = 22.0) -> DataFrame:
     h = retrieval.window_join(D.train_queries(spark, d), D.library(spark, d), "neutral_mass", "exact_mass", ppm=ppm)
     return retrieval.nearest_variant(h, "query_id", "connectivity_key").withColumn("is_true_candidate", F.coalesce(F.col("connectivity_key") == F.col("true_key"), F.lit(False)))
@@ -193,6 +198,7 @@ ORACLE = {
     "q01_band_join_ppm": f"{_H}, {D.window('testq', '22.0')} SELECT query_id, mass_variant_id, round(mass_error_da, 6) AS mass_error_da, round(abs_mass_error_ppm, 6) AS abs_mass_error_ppm FROM hits",
     "q02_band_join_variable_tol": f"{_H}, {D.window('trainq', chr(39).join(['(CASE WHEN q.ionization_mode = ', 'negative', ' THEN 22.0 ELSE 7.0 END)']))} SELECT query_id, mass_variant_id, round(abs_mass_error_ppm, 6) AS abs_mass_error_ppm FROM hits",
     "q02b_band_join_da": f"{_H} SELECT q.query_id, l.mass_variant_id, round(l.exact_mass - q.neutral_mass, 6) AS mass_error_da FROM testq q JOIN lib l ON l.exact_mass BETWEEN q.neutral_mass - 0.0051 AND q.neutral_mass + 0.0051 WHERE q.neutral_mass > 0",
+    "q02c_window_of_candidate_mass": f"{_H} SELECT q.query_id, l.mass_variant_id, round(abs((l.exact_mass - q.neutral_mass) / l.exact_mass * 1e6), 6) AS abs_mass_error_ppm FROM testq q JOIN lib l ON l.exact_mass >= q.neutral_mass - l.exact_mass * 33.0 * 1e-6 AND l.exact_mass <= q.neutral_mass + l.exact_mass * 33.0 * 1e-6 WHERE q.neutral_mass > 0",
     "q03_dedupe_variants": f"{_POOL} SELECT query_id, connectivity_key, round(abs_mass_error_ppm, 6) AS abs_mass_error_ppm, n_supporting_variants, is_true_candidate FROM ranked",
     "q04_nearest_n_fallback": f"""{_H}, near AS (SELECT q.query_id, l.connectivity_key, min(abs((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6)) AS e FROM testq q JOIN lib l
   ON l.exact_mass BETWEEN q.neutral_mass - q.neutral_mass * 2000.0 * 1e-6 AND q.neutral_mass + q.neutral_mass * 2000.0 * 1e-6 WHERE q.neutral_mass > 0 GROUP BY 1, 2),

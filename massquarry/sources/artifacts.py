@@ -130,3 +130,12 @@ def validate_submission(sub: DataFrame, expected: DataFrame, molecule: str = "mo
     m = e.join(s, molecule, "left_anti").agg(F.count(F.lit(1)).alias("missing"))
     u = s.join(e, molecule, "left_anti").agg(F.count(F.lit(1)).alias("unknown"))
     return n.crossJoin(m).crossJoin(u)  # one row each
+
+
+def write_submission(sub: DataFrame, expected: DataFrame, path: str, molecule: str = "molecule_id", k: int = 25) -> None:
+    """One CSV folder with a header, refused unless every expected molecule has between one and k distinct structures."""
+    v = validate_submission(sub, expected, molecule, k).first().asDict()
+    bad = {n: v[n] for n in ("empty", "too_long", "repeated", "missing", "unknown") if v[n]}
+    if bad or v["rows"] != v["molecules"]:
+        raise ValueError(f"submission refused: {bad or 'repeated molecules'}")
+    sub.select(molecule, "smiles").write.mode("overwrite").csv(path, header=True)

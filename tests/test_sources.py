@@ -56,6 +56,11 @@ def test_artifacts(spark, tmp_path):
     sub = spark.createDataFrame([("m1", "C;CC"), ("m2", ""), ("m3", "C;C")], "molecule_id string, smiles string")
     v = artifacts.validate_submission(sub, spark.createDataFrame([("m1",), ("m2",), ("m4",)], "molecule_id string")).first()
     assert (v.rows, v.empty, v.repeated, v.missing, v.unknown) == (3, 1, 1, 1, 1)
+    with pytest.raises(ValueError, match="refused"):
+        artifacts.write_submission(sub, sub.select("molecule_id"), str(tmp_path / "s"))
+    ok = sub.where("molecule_id = 'm1'")
+    artifacts.write_submission(ok, ok.select("molecule_id"), str(tmp_path / "s"))
+    assert spark.read.csv(str(tmp_path / "s"), header=True).first().smiles == "C;CC"
 
 
 def test_stream_takes_every_file_once(spark, tmp_path):
