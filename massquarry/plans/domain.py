@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from massquarry.functions import adducts, structures
 from massquarry.operators import spectra, universe
+from massquarry.workspace import stage
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -13,12 +14,19 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def with_mass(df: DataFrame) -> DataFrame:
-    """df with neutral_mass and adduct_supported; unsupported adducts use that of the ionization mode."""
-    own, other = adducts.parse_adduct(F.col("adduct")), adducts.parse_adduct(adducts.polarity_default(F.col("ionization_mode")))
-    df = df.withColumns({"p__": own, "q__": other})
+    """df with neutral_mass and adduct_supported; unsupported adducts use that of the ionization mode.
+
+    Each distinct adduct is parsed once, into a staged table: later expressions over the mass are plain arithmetic, and
+    the planner broadcasts the table if its files are small."""
+    defaults = df.sparkSession.createDataFrame([("[M+H]+",), ("[M-H]-",)], "adduct string")
+    names = df.select("adduct").where(F.col("adduct").isNotNull()).unionByName(defaults).distinct()
+    parsed = stage(names.withColumn("p", adducts.parse_adduct(F.col("adduct"))).where("p.supported"), "adducts")
+    own = parsed.select(F.col("adduct").alias("a__"), F.col("p").alias("p__"))
+    other = parsed.where(F.col("adduct").isin("[M+H]+", "[M-H]-")).select(F.col("adduct").alias("b__"), F.col("p").alias("q__"))
+    df = df.join(own, F.col("adduct") == F.col("a__"), "left").join(F.broadcast(other), adducts.polarity_default(F.col("ionization_mode")) == F.col("b__"), "left")  # two rows
     mz = F.when(F.col("precursor_mz") > 0, F.col("precursor_mz"))
-    mass = F.coalesce(adducts.neutral_mass(mz, F.col("p__")), adducts.neutral_mass(mz, F.col("q__")))
-    return df.withColumns({"neutral_mass": mass, "adduct_supported": F.col("p__.supported")}).drop("p__", "q__")
+    mass = adducts.neutral_mass(mz, F.coalesce("p__", "q__"))
+    return df.withColumns({"neutral_mass": mass, "adduct_supported": F.col("a__").isNotNull()}).drop("a__", "b__", "p__", "q__")
 
 
 def train_queries(spark: SparkSession, d: str) -> DataFrame:

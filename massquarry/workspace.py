@@ -7,6 +7,7 @@ true sizes, so that later joins are planned on what is there.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -23,7 +24,11 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None)
     if root:
-        return f"{root.rstrip('/')}/{_SUB}"
+        root = f"{root.rstrip('/')}/{_SUB}"
+        if "shared" not in _own:
+            _own["shared"] = root
+            atexit.register(_leave, spark, root)
+        return root
     if not conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if "dir" not in _own:
@@ -32,6 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own['dir']}/{_SUB}"
 
 
+def _leave(spark: SparkSession, root: str) -> None:
+    """At the end of the driver, delete what it staged, if the session still runs."""
+    with contextlib.suppress(Exception):
+        p = spark._jvm.org.apache.hadoop.fs.Path(root)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame, name: str = "t") -> DataFrame:
     """Write df to the shared folder and return the table read from there."""
     spark = df.sparkSession
