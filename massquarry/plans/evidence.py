@@ -11,6 +11,7 @@ from massquarry.plans import domain as D
 
 R = lambda c, n=6: F.round(c, n).alias(c)
 PAIR = ["query_id", "candidate"]
+BEST = 5  # candidates per query in the SQL of q18, q21, q22 and q23
 
 
 def q13_spectrum_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -54,11 +55,14 @@ def _references(spark: SparkSession, d: str) -> DataFrame:
     ).where(F.col("candidate").isNotNull())
 
 
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The pool's best five candidates per query with all references of the candidate, without peaks."""
+def _pairs(spark: SparkSession, d: str, best: int | None = None) -> DataFrame:
+    """The pool's candidates per query, all or the best, with all references of the candidate, without peaks."""
     from massquarry.operators import ranking
 
-    p = ranking.rank_by_keys(D.pool(spark, d), [("score", False), ("candidate", True)]).where("rank <= 5").select("query_id", "candidate")
+    p = D.pool(spark, d)
+    if best is not None:
+        p = ranking.rank_by_keys(p, [("score", False), ("candidate", True)]).where(F.col("rank") <= best)
+    p = p.select("query_id", "candidate")
     q = D.table(spark, d, "test").dropDuplicates(["spectrum_id"])
     e = spectra.energies(F.col("collision_energy_ev"))
     q = q.select(F.col("spectrum_id").alias("query_id"), F.col("adduct").alias("q_adduct"), F.col("ionization_mode").alias("q_mode"), structures.instrument(F.col("instrument_type")).alias("q_instrument"), F.col("eval_set").alias("q_source"), F.round(e["ce_mean"], 3).alias("q_ce"), F.when(e["ce_n"] > 0, "eV").alias("q_ce_unit"))
@@ -68,20 +72,20 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q21_compat_order_top5(spark: SparkSession, d: str) -> DataFrame:
-    return references.first_eligible(_pairs(spark, d), PAIR, "mirror_aware").select(*PAIR, "r_id", "compat_rank")
+    return references.first_eligible(_pairs(spark, d, BEST), PAIR, "mirror_aware").select(*PAIR, "r_id", "compat_rank")
 
 
 def q22_protocol_counts(spark: SparkSession, d: str) -> DataFrame:
     rules = references.protocols()
-    return _pairs(spark, d).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_refs"), *(F.count_if(c).alias(f"n_{k}") for k, c in rules.items()))
+    return _pairs(spark, d, BEST).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_refs"), *(F.count_if(c).alias(f"n_{k}") for k, c in rules.items()))
 
 
 def q23_walk_depth(spark: SparkSession, d: str) -> DataFrame:
-    return references.walk_summary(references.walk(_pairs(spark, d), PAIR), PAIR)
+    return references.walk_summary(references.walk(_pairs(spark, d, BEST), PAIR), PAIR)
 
 
 def _scored_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """The first five references of each pair with all four similarities; peaks join after the cut."""
+    """The first five references of each pair of the whole pool with all four similarities; peaks join after the cut."""
     sel = references.first_eligible(_pairs(spark, d), PAIR, "standard").select(*PAIR, "r_id", "compat_rank")
     r = _references(spark, d).select("r_id", F.col("r_precursor"), spectra.top_peaks(spectra.peaks(F.col("r_mz"), F.col("r_i")), 100).alias("r_peaks"))
     q = D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("q_precursor"), spectra.top_peaks(F.col("peaks"), 100).alias("q_peaks"))
@@ -98,7 +102,7 @@ def q19_pair_similarities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q18_reference_cosine(spark: SparkSession, d: str) -> DataFrame:
-    sel = references.first_eligible(_pairs(spark, d), PAIR, "standard").select("query_id", "r_id")
+    sel = references.first_eligible(_pairs(spark, d, BEST), PAIR, "standard").select("query_id", "r_id")
     qb = spectra.binned(D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), "peaks"), ["query_id"], F.col("peaks"))
     rb = spectra.binned(_references(spark, d).select("r_id", spectra.peaks(F.col("r_mz"), F.col("r_i")).alias("peaks")), ["r_id"], F.col("peaks"))
     return spectra.cosine_of_pairs(sel, qb, rb, "query_id", "r_id").select("query_id", "r_id", R("cosine"))
