@@ -5,7 +5,7 @@ A state emits the characters of a word by its own bigrams, spaces at both ends i
 are sticky, so one garbled word is told by itself if it is odd enough, and a weakly garbled one by its neighbours. Words
 of plain ASCII look the same in all states and are passed over.
 
-Training needs no labels. From a bounded sample of the corpus the distinct words are counted. A word whose inverse
+Training needs no labels. The distinct words of the whole corpus are counted. A word whose inverse
 transform by some pair is a clearly more frequent word, or is valid UTF-8 beyond ASCII, is not clean; the others train
 the clean state, and their images under each pair train that pair's state.
 
@@ -99,7 +99,7 @@ class Model:
     """Bigram emissions of all states as arrays, and transitions."""
 
     def __init__(self, counts: dict[str, int], enter: float = 7.0, leave: float = 2.0, beta: float = 2.0):
-        """counts: occurrences of distinct words (see shape) in the sample."""
+        """counts: occurrences of distinct words (see shape) in the corpus."""
         self.enter, self.leave, self.beta = enter, leave, beta
         every = pairs()
         self.pairs: list[Pair] = []
@@ -267,13 +267,11 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
 
 
-def train(df: DataFrame, id_col: str, text: str, max_texts: int = 20_000, max_words: int = 200_000) -> Model:
-    """A model of at most max_texts texts, chosen by a hash of their id, and their max_words most frequent words."""
-    total = df.count()
-    share = min(1.0, max_texts / max(1, total))
-    u = F.abs(F.xxhash64(F.col(id_col), F.lit(11)) % 1_000_000) / 1_000_000
-    words = df.where(u < share).select(F.col(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = words.orderBy(F.desc("n"), "word").limit(max_words).collect()
+def train(df: DataFrame, text: str) -> Model:
+    """A model of the words of all texts."""
+    words = df.select(F.col(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    # ties in the order of the words, since the sums of floats depend on it
+    rows = words.orderBy(F.desc("n"), "word").collect()
     return Model({r["word"]: r["n"] for r in rows})
 
 
@@ -303,5 +301,5 @@ def repair(df: DataFrame, id_col: str, text: str, model: Model | None = None) ->
     replacement characters. Null, empty and plain ASCII texts give no row; rows of one id are handled each by itself;
     long texts are read whole; extra columns are ignored; an empty table gives an empty result.
     """
-    model = model or train(df, id_col, text)
+    model = model or train(df, text)
     return df.select(F.col(id_col).cast("long"), F.col(text)).mapInArrow(_repairs(model), "doc_id long, restored string, spans int, unrestored int, encodings array<string>")
