@@ -55,19 +55,44 @@ def nearest_variant(pool: DataFrame, query: str, key: str) -> DataFrame:
     return ranked.withColumn("n_supporting_variants", F.count(F.lit(1)).over(w)).where("r__ = 1").drop("r__")
 
 
-def fallback_search(queries: DataFrame, library: DataFrame, query: str, query_mass: str, key: str, mass: str, levels: list[float], nearest: int = 0, widest: float = 2000.0) -> DataFrame:
-    """Window search that widens for the queries without a hit, and at last takes the `nearest` keys within `widest`;
-    one row per (query, key) with its level."""
-    out, open_queries = None, stage(queries, "queries")
-    for level in [*levels, *([widest] if nearest else [])]:
-        hits = window_join(open_queries, library, query_mass, mass, ppm=level)
-        hits = hits.groupBy(query, key).agg(F.min("abs_mass_error_ppm").alias("abs_mass_error_ppm")).withColumn("level_ppm", F.lit(float(level)))
-        if nearest and level == widest:
-            w = W.partitionBy(query).orderBy("abs_mass_error_ppm", key)
-            hits = hits.withColumn("r__", F.row_number().over(w)).where(F.col("r__") <= nearest).drop("r__")
-        hits = stage(hits, "level")  # read by the result and by all later levels
+def fallback_search(queries: DataFrame, library: DataFrame, query: str, query_mass: str, key: str, mass: str, levels: list[float], nearest: int = 0, widest: float | None = None) -> DataFrame:
+    """Window search that widens for the queries without a hit, and at last takes the `nearest` keys; one row per (query,
+    key) with its level. The last window doubles for the queries still short of keys, until all have `nearest` or the
+    library is exhausted (level infinite); with `widest` it stays at that."""
+    out, open_queries = None, stage(queries.where(usable(F.col(query_mass))), "queries")
+
+    def least(hits: DataFrame, level: float) -> DataFrame:
+        return hits.groupBy(query, key).agg(F.min("abs_mass_error_ppm").alias("abs_mass_error_ppm")).withColumn("level_ppm", F.lit(float(level)))
+
+    def best(hits: DataFrame) -> DataFrame:
+        w = W.partitionBy(query).orderBy("abs_mass_error_ppm", key)
+        return hits.withColumn("r__", F.row_number().over(w)).where(F.col("r__") <= nearest).drop("r__")
+
+    def without(hits: DataFrame) -> DataFrame:
+        return open_queries.join(hits.select(F.col(query).alias("h__")).distinct(), F.col(query) == F.col("h__"), "left_anti")
+
+    for level in levels:
+        hits = stage(least(window_join(open_queries, library, query_mass, mass, ppm=level), level), "level")  # read by the result and by all later levels
+        out = hits if out is None else out.unionByName(hits)
+        open_queries = without(hits)
+    level = widest or 2000.0
+    while nearest and level < 1e6:  # beyond it a window has no lower end
+        hits = best(least(window_join(open_queries, library, query_mass, mass, ppm=level), level))
+        if widest is None:
+            hits = hits.withColumn("n__", F.count(F.lit(1)).over(W.partitionBy(query))).where(F.col("n__") >= nearest).drop("n__")
+        hits = stage(hits, "level")
+        out = hits if out is None else out.unionByName(hits)
+        if widest is not None:
+            return out
+        open_queries = stage(without(hits), "queries")
+        if open_queries.isEmpty():
+            return out
+        level *= 2
+    if nearest:
+        m, q = F.col(mass), F.col(query_mass)
+        rest = open_queries.crossJoin(library.where(usable(m))).withColumn("abs_mass_error_ppm", F.abs((m - q) / q * 1e6))
+        hits = best(least(rest, float("inf")))
         out = hits if out is None else out.unionByName(hits)
-        open_queries = open_queries.join(hits.select(F.col(query).alias("h__")).distinct(), F.col(query) == F.col("h__"), "left_anti")
     return out
 
 

@@ -97,7 +97,7 @@ def q73_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
 def q74_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """From raw test spectra to molecule rankings: mass, windows with fallback, mass likelihood as score, softmax, A7."""
     q = D.test_queries(spark, d).where(F.col("molecule_id").isNotNull())
-    hits = retrieval.fallback_search(q, D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [10.0, 50.0], nearest=5)
+    hits = retrieval.fallback_search(q, D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [10.0, 50.0], nearest=5, widest=2000.0)  # as the SQL has it
     s = hits.withColumn("score", F.round(-F.pow(F.col("abs_mass_error_ppm") / 10.0, F.lit(2)) / 2, 9))
     s = ranking.softmax(s.join(q.select("query_id", "molecule_id"), "query_id"), "score", "query_id", 1.1947045)
     s = s.withColumnsRenamed({"query_id": "spectrum_id", "connectivity_key": "candidate"})

@@ -53,7 +53,7 @@ def q03_dedupe_variants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q04_nearest_n_fallback(spark: SparkSession, d: str) -> DataFrame:
-    f = retrieval.fallback_search(D.test_queries(spark, d), D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [3.0, 30.0], nearest=3)
+    f = retrieval.fallback_search(D.test_queries(spark, d), D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [3.0, 30.0], nearest=3, widest=2000.0)  # as the SQL has it
     return f.select("query_id", "connectivity_key", R("abs_mass_error_ppm"), "level_ppm")
 
 
