@@ -1,177 +1,138 @@
 """Most similar vectors for every vector: vantage-point trees per shard.
 
-Shards are groups of vectors that can be similar at all. Each vector names the pairs among its strongest bins as keys;
-under a key, vectors that share enough of their strongest bins are linked to the first such vector (a leader), and the
-connected components of all links are the shards. Two vectors with a cosine of at least `least` end up in one shard
-unless neither they nor any chain of vectors between them share a key; the share found is measured in the tests.
-
-In each shard a vantage-point tree over angles answers a search for every vector: a subtree is left out if the triangle
-inequality, relaxed by `factor`, says that it holds nothing nearer than the k-th best so far; factor 1 is exact.
+Equal vectors are searched once and stand for all their ids. Shards are groups of vectors that can be similar at all:
+
+- by default, vectors that name a common key are linked, and the connected components of all links are the shards. Keys
+  are the triples among a vector's strongest bins, and those single bins and pairs among them that alone hold `heavy` of
+  its squared length. The share of pairs that this misses is measured in the tests and stated in the README;
+- with `exact`, a shard is a bin: bins are ordered from rare to frequent, and a vector belongs to the shards of its first
+  bins, up to where what is left is shorter than `least`. Two vectors with a cosine of at least `least` have their first
+  common bin among those of both, so they meet in its shard, and no pair is missed.
+
+A shard of more than `block` vectors is split by a vantage-point tree over a bounded sample of it into leaves. Every
+vector is searched in its own leaf first; with the k-th best found there as radius, it goes to those other leaves that the
+triangle inequality over angles, relaxed by `factor`, does not rule out. Within a leaf a tree answers all searches at
+once. Factor 1 is exact, greater ones leave out more.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import pickle
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from massquarry.llm.splits import components
 from massquarry.llm.vectors import as_binary, binned, from_binary, strongest
+from massquarry.workspace import stage
+
+#: Vectors of a large shard that its tree is fitted on, at most; the tree then assigns every vector.
+SAMPLE = 65_536
+#: Rows that one task sends through a tree, or asks of a leaf, before the work is divided.
+_PORTION = 50_000
+
 
-SIGNATURE = 8
-_HALF = 1 << 31
-#: Rounds of leading before the rows that are left are told apart by a third bin.
-_ROUNDS = 48
-
-
-def _keys(top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """row, key: all pairs among the strongest bins."""
-    n, m = top.shape
-    i, j = np.triu_indices(m, 1)
-    a, b = top[:, i], top[:, j]
-    key = np.minimum(a, _HALF - 1) * _HALF + np.minimum(b, _HALF - 1)
-    row = np.repeat(np.arange(n), len(i))
-    ok = (a >= 0).ravel() & (b >= 0).ravel()
-    return row[ok], key.ravel()[ok]
-
-
-def lead(key: np.ndarray, ids: np.ndarray, sig: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """leaders (positions), link_a, link_b. Rows come sorted by key, then id.
-
-    Within a key, the first row not yet linked leads and takes all rows that share enough of its strongest bins; the
-    rest goes on until none is left. All keys advance together, so the work is a few array operations per round. What is
-    left after _ROUNDS shares its key's two bins and little else: with a third bin in the key, rows that agree share
-    three bins, and all but the first of them are linked at once, in time proportional to the rows."""
-    left = np.arange(len(key))
-    leaders, la, lb = [], [], []
-    rounds = 0
-    while len(left):
-        rounds += 1
-        if rounds > _ROUNDS and shared <= 3:
-            a, h = _by_third(key, sig, left)
-            la.append(ids[a])
-            lb.append(ids[h])
-            leaders.append(left)
-            break
-        k = key[left]
-        first = np.ones(len(left), bool)
-        first[1:] = k[1:] != k[:-1]
-        at = np.flatnonzero(first)
-        size = np.diff(np.append(at, len(left)))
-        head = left[np.repeat(at, size)]
-        leaders.append(left[at])
-        rest = ~first
-        if not rest.any():
-            break
-        a, h = left[rest], head[rest]
-        common = np.zeros(len(a), np.int64)
-        for c in range(sig.shape[1]):
-            common += ((sig[a] == sig[h, c][:, None]) & (sig[a] >= 0)).any(axis=1)
-        hit = (common >= shared) | (ids[a] == ids[h])
-        la.append(ids[a[hit]])
-        lb.append(ids[h[hit]])
-        left = a[~hit]
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return np.sort(cat(leaders)), cat(la), cat(lb)
-
-
-def _by_third(key: np.ndarray, sig: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions) of rows of one key that share any third bin."""
-    row = np.repeat(left, sig.shape[1])
-    third = sig[left].ravel()
-    ok = (third >= 0) & (third != key[row] // _HALF) & (third != key[row] % _HALF)
-    row, third = row[ok], third[ok]
-    order = np.lexsort((row, third, key[row]))
-    row, third = row[order], third[order]
-    first = np.ones(len(row), bool)
-    first[1:] = (key[row[1:]] != key[row[:-1]]) | (third[1:] != third[:-1])
-    at = np.flatnonzero(first)
-    head = row[np.repeat(at, np.diff(np.append(at, len(row))))]
-    return row[~first], head[~first]
-
-
-def _batch(key, ids, sig, is_link) -> pa.RecordBatch:
-    n, m = sig.shape
-    flat = pa.array(sig.astype(np.int32).ravel(), pa.int32())
-    sigs = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * m), flat)
-    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(ids, pa.int64()), sigs, pa.array(is_link, pa.bool_())], ["key", "id", "sig", "linked"])
-
-
-_KEY_SCHEMA = "key long, id long, sig array<int>, linked boolean"
-
-
-def _key_rows(m: int, shared: int, width: float):
-    """mapInArrow: the keyed rows of each batch, led within the batch already, so that a key that many rows share leaves
-    a batch as its few leaders."""
+# --- vectors and keys
+
+
+def _vectors(width: float):
+    """mapInArrow (id, mz, i): id, digest, vector of the usable rows."""
 
     def run(batches):
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             rows, off, bins, w = binned(b.column(1), b.column(2), width)
-            if not len(rows):
-                continue
-            sig = strongest(off, bins, w, SIGNATURE)
-            row, key = _keys(strongest(off, bins, w, m))
-            own = ids[rows][row]
-            order = np.lexsort((own, key))
-            key, own, s = key[order], own[order], sig[row[order]]
-            heads, a, c = lead(key, own, s, shared)
-            yield _batch(key[heads], own[heads], s[heads], np.zeros(len(heads), bool))
-            if len(a):
-                # links pass through with the other end in place of the key
-                yield _batch(c, a, np.full((len(a), 1), -1), np.ones(len(a), bool))
+            v = as_binary(off, bins, w)
+            digest = [hashlib.blake2b(x, digest_size=16).digest() for x in v.to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[rows].astype(np.int64)), pa.array(digest, pa.binary()), v], ["id", "digest", "vector"])
 
     return run
 
 
-def _lead_rows(shared: int):
-    """mapInArrow over rows sorted by key: links (u, v). Of a key that continues, its leaders so far are carried on."""
-
-    def out(a, c):
-        keep = a != c
-        return pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(c[keep], pa.int64())], ["u", "v"])
-
-    def work(key, ids, sig, last: bool):
-        end = len(key) if last else int(np.searchsorted(key, key[-1]))
-        heads, a, c = lead(key, ids, sig, shared)
-        keep = heads[heads >= end]
-        return (a, c), (key[keep], ids[keep], sig[keep])
+def _mix(*parts: np.ndarray) -> np.ndarray:
+    """One 64-bit number of several columns of integers."""
+    h = np.full(len(parts[0]), 0x9E3779B97F4A7C15, np.uint64)
+    with np.errstate(over="ignore"):
+        for p in parts:
+            h = (h ^ p.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+            h ^= h >> np.uint64(29)
+    return h.view(np.int64)
+
+
+def keys_of(off: np.ndarray, bins: np.ndarray, w: np.ndarray, m: int, heavy: float) -> tuple[np.ndarray, np.ndarray]:
+    """row, key: see the module's text."""
+    top = strongest(off, bins, w, m)
+    n = len(top)
+    mass = np.zeros((n, m))
+    row = np.repeat(np.arange(n), np.diff(off))
+    for c in range(m):  # the squared weight of each of the strongest bins
+        hit = bins == top[row, c]
+        mass[row[hit], c] = w[hit] ** 2
+    rows, out = [], []
+    for size in (1, 2, 3):
+        for c in itertools.combinations(range(m), size):
+            ok = (top[:, list(c)] >= 0).all(axis=1)
+            if size < 3:
+                ok &= mass[:, list(c)].sum(axis=1) >= heavy
+            at = np.flatnonzero(ok)
+            rows.append(at)
+            out.append(_mix(np.full(len(at), size), *(top[at, x] for x in c)))
+    return np.concatenate(rows), np.concatenate(out)
+
+
+def _key_rows(m: int, heavy: float):
+    """mapInArrow (id, vector): key and id. Of a batch's rows with one key, the first leaves with it, and each other one
+    leaves linked to the first by a key of their own, so a key that very many rows share leaves each batch once."""
 
     def run(batches):
-        held, n = None, 0
-        parts: list = []
         for b in batches:
-            linked = b.column(3).to_numpy(zero_copy_only=False)
-            key, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if linked.any():
-                yield out(ids[linked], key[linked])
-            free = ~linked
-            if not free.any():
+            if not b.num_rows:
                 continue
-            sig = b.column(2).filter(pa.array(free)).flatten().to_numpy(zero_copy_only=False).reshape(-1, SIGNATURE)
-            parts.append((key[free], ids[free], sig))
-            n += int(free.sum())
-            if n >= 200_000:
-                key, ids, sig = (np.concatenate(x) for x in zip(*([held] if held else []), *parts, strict=True))
-                (a, c), held = work(key, ids, sig, False)
-                parts, n = [], 0
-                yield out(a, c)
-        if parts or held:
-            key, ids, sig = (np.concatenate(x) for x in zip(*([held] if held else []), *parts, strict=True))
-            (a, c), _ = work(key, ids, sig, True)
-            yield out(a, c)
+            ids = b.column(0).to_numpy()
+            row, key = keys_of(*from_binary(b.column(1).to_pylist()), m, heavy)
+            own = ids[row]
+            order = np.lexsort((own, key))
+            key, own = key[order], own[order]
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            at = np.flatnonzero(first)
+            head = np.repeat(own[at], np.diff(np.append(at, len(key))))
+            links = np.unique(np.stack([own[~first], head[~first]]), axis=1)
+            links = links[:, links[0] != links[1]]
+            between = _mix(np.zeros(links.shape[1], np.int64), *links)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[at], between, between])), pa.array(np.concatenate([own[at], links[0], links[1]]))], ["key", "id"])
 
     return run
 
 
-def _vectors(width: float):
-    def run(batches):
-        for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            rows, off, bins, w = binned(b.column(1), b.column(2), width)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[rows], pa.int64()), as_binary(off, bins, w)], ["id", "vector"])
+def _by_links(vectors: DataFrame, m: int, heavy: float) -> DataFrame:
+    """shard, id: the connected components of vectors with common keys."""
+    keyed = vectors.select("id", "vector").mapInArrow(_key_rows(m, heavy), "key long, id long")
+    links = keyed.withColumn("v", F.min("id").over(W.partitionBy("key"))).where(F.col("id") != F.col("v"))
+    return components(links.select(F.col("id").alias("u"), "v")).select(F.col("root").alias("shard"), F.col("node").alias("id"))
+
+
+def _bins(batches):
+    """mapInArrow (id, vector): id, bin, mass of every bin."""
+    for b in batches:
+        off, bins, w = from_binary(b.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), np.diff(off))), pa.array(bins), pa.array(w * w)], ["id", "bin", "mass"])
+
+
+def _by_prefix(base: DataFrame, least: float) -> DataFrame:
+    """shard, id: the first bins of each vector, from rare to frequent, up to where the rest is shorter than `least`."""
+    cells = base.mapInArrow(_bins, "id long, bin long, mass double")
+    count = cells.groupBy(F.col("bin").alias("b__")).agg(F.count(F.lit(1)).alias("f"))
+    w = W.partitionBy("id").orderBy("f", "bin").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("mass").over(w), F.lit(0.0))
+    # rounding to six decimals lets a cosine slightly below `least` count
+    return cells.join(count, F.col("bin") == F.col("b__")).withColumn("before", before).where(F.col("before") <= 1 - (least - 1e-6) ** 2 + 1e-9).select(F.col("bin").alias("shard"), "id")
 
-    return run
+
+# --- searching
 
 
 class Tree:
@@ -234,91 +195,404 @@ class Tree:
         return sim, pos
 
 
-def _dense(off, bins, w):
-    u, inv = np.unique(bins, return_inverse=True)
-    x = np.zeros((len(off) - 1, len(u)))
-    x[np.repeat(np.arange(len(off) - 1), np.diff(off)), inv] = w
-    return x
+class Leaf:
+    """Vectors of one leaf or small shard, ready for searches. Only bins that they hold become columns."""
+
+    def __init__(self, rows: list[tuple[int, bytes]]):
+        rows = sorted(rows, key=lambda x: x[0])  # equal similarities: the smaller id first
+        self.ids = np.array([r[0] for r in rows], np.int64)
+        off, bins, w = from_binary([r[1] for r in rows])
+        self.cols, inv = np.unique(bins, return_inverse=True)
+        x = np.zeros((len(rows), len(self.cols)))
+        x[np.repeat(np.arange(len(rows)), np.diff(off)), inv] = w
+        self.tree = Tree(x)
+
+    def search(self, rows: list[tuple[int, bytes]], k: int, least: float, factor: float):
+        """id, neighbour, similarity of up to k neighbours of every row; a row's own id is none."""
+        out = []
+        step = max(16, min(2_000, 4_000_000 // max(1, len(self.cols))))
+        for s in range(0, len(rows), step):
+            part = rows[s : s + step]
+            own = np.array([r[0] for r in part], np.int64)
+            off, bins, w = from_binary([r[1] for r in part])
+            at = np.minimum(np.searchsorted(self.cols, bins), len(self.cols) - 1)
+            same = self.cols[at] == bins
+            q = np.zeros((len(part), len(self.cols)))
+            q[np.repeat(np.arange(len(part)), np.diff(off))[same], at[same]] = w[same]
+            sim, pos = self.tree.search(q, min(k + 1, len(self.ids)), least, factor)
+            sim = np.where((self.ids[pos] == own[:, None]) | (pos < 0), -3, sim)
+            order = np.lexsort((pos, -sim), axis=1)[:, :k]
+            sim, pos = np.take_along_axis(sim, order, 1), np.take_along_axis(pos, order, 1)
+            who, col = np.nonzero(sim >= least)
+            out.append((own[who], self.ids[pos[who, col]], sim[who, col]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
 
+_FOUND = "shard long, id long, neighbour long, similarity double"
 
-def _search_shard(queries, targets, k, least, factor):
-    """Neighbours among targets of every query: arrays id, neighbour, similarity, rank; both are lists of (id, bytes)."""
-    targets = sorted(targets)  # equal similarities: the smaller id first
-    ids, own = np.array([t[0] for t in targets]), np.array([q[0] for q in queries])
-    off, bins, w = from_binary([x[1] for x in (*targets, *queries)])
-    x = _dense(off, bins, w)
-    t, q = x[: len(ids)], x[len(ids) :]
-    sim, pos = Tree(t).search(q, min(k + 1, len(ids)), least, factor)
-    # a query that is a target finds itself; with more than k exact copies before it, it is not among its first k + 1
-    sim = np.where(ids[pos] == own[:, None], -3, sim)
-    order = np.lexsort((pos, -sim), axis=1)[:, :k]
-    sim, pos = np.take_along_axis(sim, order, 1), np.take_along_axis(pos, order, 1)
-    who, col = np.nonzero((sim >= least) & (pos >= 0))
-    return own[who], ids[pos[who, col]], sim[who, col], col + 1
 
+def _found(parts) -> pa.RecordBatch:
+    g, i, j, s = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(s, pa.float64())], ["shard", "id", "neighbour", "similarity"])
 
-def _shards(k: int, least: float, factor: float):
-    """mapInArrow over rows sorted by shard and pair of blocks: the neighbours within each."""
+
+def _own_leaf(k: int, least: float, factor: float):
+    """mapInArrow (group, id, vector) sorted by group (shard, leaf, part): every row's neighbours within its group."""
 
     def run(batches):
-        done: list = []
-        size = 0
-        rows: list = []
-        group = None
+        done, size, rows, group = [], 0, [], None
 
         def search():
-            q, t = [r[:2] for r in rows if r[2]], [r[:2] for r in rows if r[3]]
-            return [_search_shard(q, t, k, least, factor)] if q and t and len(rows) > 1 else []
+            if len(rows) < 2:
+                return []
+            got = Leaf(rows).search(rows, k, least, factor)
+            return [(np.full(len(got[0]), group["shard"]), *got)] if len(got[0]) else []
 
         for b in batches:
-            for g, *r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for g, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if g != group:
-                    for a in search():
-                        done.append(a)
-                        size += len(a[0])
+                    done += search()
+                    size += len(rows)
                     rows, group = [], g
-                rows.append(r)
-            if size > 50_000:
-                yield _out(done)
+                rows.append((i, v))
+            if size > 20_000 and done:
+                yield _found(done)
                 done, size = [], 0
         done += search()
         if done:
-            yield _out(done)
+            yield _found(done)
 
     return run
 
 
-def _out(parts) -> pa.RecordBatch:
-    i, j, s, r = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(s, pa.float64()), pa.array(r, pa.int32())], ["id", "neighbour", "similarity", "rank"])
+def _other_leaves(k: int, least: float, factor: float, batch: int = 2_000):
+    """mapInArrow (group, asks, id, vector) sorted by group, the leaf's own vectors first: those that ask stream through."""
 
+    def run(batches):
+        group, own, leaf, ask = None, [], None, []
 
-def nearest(df: DataFrame, id_col: str, mz: str, intensity: str, k: int = 5, least: float = 0.75, factor: float = 1.0, strongest_bins: int = 6, shared: int = 3, width: float = 0.1, block: int = 800) -> DataFrame:
+        def search():
+            got = leaf.search(ask, k, least, factor)
+            return _found([(np.full(len(got[0]), group["shard"]), *got)])
+
+        for b in batches:
+            for g, asks, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != group:
+                    if ask:
+                        yield search()
+                    group, own, leaf, ask = g, [], None, []
+                if not asks:
+                    own.append((i, v))
+                    continue
+                if not own:
+                    continue
+                if leaf is None:
+                    leaf = Leaf(own)
+                ask.append((i, v))
+                if len(ask) >= batch:
+                    yield search()
+                    ask = []
+        if ask:
+            yield search()
+
+    return run
+
+
+# --- large shards
+
+
+def _angles(off, bins, w, pb: np.ndarray, pw: np.ndarray) -> np.ndarray:
+    """Angle of every vector from the vector (pb, pw)."""
+    at = np.minimum(np.searchsorted(pb, bins), len(pb) - 1)
+    x = np.where(pb[at] == bins, w * pw[at], 0.0)
+    return np.arccos(np.clip(np.add.reduceat(x, off[:-1]), -1, 1)) if len(off) > 1 else np.zeros(0)
+
+
+def _rows_of(off, bins, w, rows):
+    size = off[rows + 1] - off[rows]
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(off[rows], size)
+    return np.append(0, np.cumsum(size)), bins[at], w[at]
+
+
+class Router:
+    """The upper part of a large shard's tree. A node parts what lies within an angle of its vantage point from the rest;
+    the angles bound all vectors, not the sample's only, as they are what assigns them."""
+
+    def __init__(self, off, bins, w, leaves: int, seed: int = 11):
+        rng = np.random.default_rng(seed)
+        self.pivots, self.cuts, self.children = [], [], []
+        parts: list[tuple[np.ndarray, tuple | None]] = [(np.arange(len(off) - 1), None)]  # rows and where they hang
+        done: list[tuple[np.ndarray, tuple | None]] = []
+        while parts and len(parts) + len(done) < leaves:
+            parts.sort(key=lambda x: len(x[0]))
+            rows, hang = parts.pop()
+            best = None
+            mine = _rows_of(off, bins, w, rows)
+            for v in rng.choice(len(rows), min(6, len(rows)), replace=False):
+                pb, pw = mine[1][mine[0][v] : mine[0][v + 1]], mine[2][mine[0][v] : mine[0][v + 1]]
+                d = _angles(*mine, pb, pw)
+                s = np.sort(d)
+                mid = s[len(s) // 2]
+                near = d <= mid if mid < s[-1] else d < mid
+                share = min(near.sum(), len(d) - near.sum())
+                if share and (best is None or share > best[0]):
+                    best = share, pb, pw, (d[near].max() + d[~near].min()) / 2, near
+            if best is None:
+                done.append((rows, hang))
+                continue
+            _, pb, pw, cut, near = best
+            node = len(self.pivots)
+            self.pivots.append((pb, pw))
+            self.cuts.append(cut)
+            self.children.append([0, 0])
+            if hang:
+                self.children[hang[0]][hang[1]] = node
+            parts += [(rows[near], (node, 0)), (rows[~near], (node, 1))]
+        for leaf, (_, hang) in enumerate(parts + done):
+            if hang:
+                self.children[hang[0]][hang[1]] = -leaf - 1
+
+    def route(self, off, bins, w, reach: np.ndarray | None = None, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """row, leaf: the leaf of each row, or with reach (angles) all leaves that may hold something as near."""
+        n = len(off) - 1
+        if not self.pivots:
+            return np.arange(n), np.zeros(n, np.int64)
+        out, todo = [], [(0, np.arange(n))]
+        while todo:
+            node, rows = todo.pop()
+            if not len(rows):
+                continue
+            if node < 0:
+                out.append((rows, np.full(len(rows), -node - 1)))
+                continue
+            d = _angles(*_rows_of(off, bins, w, rows), *self.pivots[node])
+            cut = self.cuts[node]
+            near = d <= cut if reach is None else (d - cut) * factor <= reach[rows]
+            far = ~near if reach is None else (cut - d) * factor <= reach[rows]
+            todo += [(self.children[node][0], rows[near]), (self.children[node][1], rows[far])]
+        r, leaf = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((leaf, r))
+        return r[order], leaf[order]
+
+
+def _routers(batches):
+    """mapInArrow (shard, leaves, vector) sorted by shard: one tree per shard. At most SAMPLE vectors of a shard come."""
+    shard, leaves, rows = None, 0, []
+
+    def build():
+        off, bins, w = from_binary(rows)
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([pickle.dumps(Router(off, bins, w, leaves))], pa.binary())], ["shard", "vector"])
+
+    for b in batches:
+        for s, n, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if s != shard:
+                if rows:
+                    yield build()
+                shard, leaves, rows = s, n, []
+            rows.append(v)
+    if rows:
+        yield build()
+
+
+def _through(factor: float | None):
+    """mapInArrow (at, is_row, id, reach, vector) sorted by at (shard, portion), the tree first: shard, leaf, id, vector."""
+
+    def run(batches):
+        at, router, rows, batch = None, None, [], 2_000
+
+        def send():
+            v = [r[2] for r in rows]
+            reach = None if factor is None else np.array([r[1] for r in rows], float)
+            r, leaf = router.route(*from_binary(v), reach, factor or 1.0)
+            take = pa.array(r)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(r), at["shard"]), pa.int64()), pa.array(leaf, pa.int64()), pa.array([x[0] for x in rows], pa.int64()).take(take), pa.array(v, pa.binary()).take(take)], ["shard", "leaf", "id", "vector"]
+            )
+
+        for b in batches:
+            for g, is_row, i, reach, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != at:
+                    if rows:
+                        yield send()
+                    at, router, rows = g, None, []
+                if not is_row:
+                    router = pickle.loads(v)
+                    # a row may go to all leaves
+                    batch = 2_000 if factor is None else max(16, 50_000 // (len(router.pivots) + 1))
+                    continue
+                rows.append((i, reach, v))
+                if len(rows) >= batch:
+                    yield send()
+                    rows = []
+        if rows:
+            yield send()
+
+    return run
+
+
+def _send(rows: DataFrame, trees: DataFrame, factor: float | None) -> DataFrame:
+    """rows (shard, n, id, reach, vector) through their shards' trees, in portions, each with a copy of its tree."""
+    portions = F.ceil(F.col("n") / _PORTION).cast("int")
+    mine = rows.select(F.struct("shard", F.pmod(F.xxhash64("id"), portions).cast("int").alias("portion")).alias("at"), F.lit(True).alias("is_row"), "id", "reach", "vector")
+    sizes = trees.withColumn("portion", F.explode(F.sequence(F.lit(0), portions - 1)))
+    theirs = sizes.select(F.struct("shard", "portion").alias("at"), F.lit(False).alias("is_row"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("double").alias("reach"), "vector")
+    both = mine.unionByName(theirs).repartition("at").sortWithinPartitions("at", "is_row")
+    return both.mapInArrow(_through(factor), "shard long, leaf long, id long, vector binary")
+
+
+def _large(rows: DataFrame, k: int, least: float, factor: float, block: int) -> DataFrame:
+    """Neighbours within large shards; rows: shard, n, id, vector."""
+    wanted = F.least(F.ceil(F.col("n") / block), F.lit(SAMPLE // 16)).cast("int")
+    pick = F.row_number().over(W.partitionBy("shard").orderBy(F.xxhash64("id"), "id"))
+    sample = rows.withColumn("leaves", wanted).withColumn("r", pick).where(F.col("r") <= SAMPLE).where(F.col("r") <= 16 * F.col("leaves"))
+    trees = sample.select("shard", "leaves", "vector").repartition("shard").sortWithinPartitions("shard").mapInArrow(_routers, "shard long, vector binary")
+    counts = rows.groupBy(F.col("shard").alias("s__")).agg(F.first("n").alias("n"))
+    trees = stage(trees.join(counts, F.col("shard") == F.col("s__")).select("shard", "n", "vector"), "trees")
+    placed = stage(_send(rows.withColumn("reach", F.lit(None).cast("double")), trees, None), "leaves")
+    # a leaf that no vantage point parts any further is cut by hash, and each part asks the others
+    sizes = stage(placed.groupBy(F.col("shard").alias("s__"), F.col("leaf").alias("l__")).agg(F.count(F.lit(1)).alias("m")).withColumn("cuts", F.ceil(F.col("m") / (2 * block)).cast("int")), "sizes")
+    in_leaf = (F.col("shard") == F.col("s__")) & (F.col("leaf") == F.col("l__"))
+    part = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
+    home = placed.join(sizes, in_leaf).select("shard", "leaf", part.alias("part"), "id", "vector")
+    group = F.struct("shard", "leaf", "part").alias("group")
+    first = stage(home.select(group, "id", "vector").repartition("group").sortWithinPartitions("group").mapInArrow(_own_leaf(k, least, factor), _FOUND), "own")
+    near = first.groupBy(F.col("shard").alias("s__"), F.col("id").alias("i__")).agg(F.count(F.lit(1)).alias("c"), F.min("similarity").alias("s"))
+    reach = F.acos(F.when(F.col("c") >= k, F.greatest("s", F.lit(least))).otherwise(least) - 1e-6)
+    askers = rows.join(near, (F.col("shard") == F.col("s__")) & (F.col("id") == F.col("i__")), "left").select("shard", "n", "id", "vector", reach.alias("reach"))
+    sent = _send(askers, trees, factor)
+    own = placed.select(F.col("shard").alias("s2__"), F.col("id").alias("i2__"), F.col("leaf").alias("own"))
+    sent = sent.join(sizes, in_leaf).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    sent = sent.join(own, (F.col("shard") == F.col("s2__")) & (F.col("id") == F.col("i2__"))).where((F.col("leaf") != F.col("own")) | (F.col("part") != part))
+    sent = stage(sent.select("shard", "leaf", "part", "id", "vector"), "askers")
+    turns = sent.groupBy(F.col("shard").alias("s__"), F.col("leaf").alias("l__"), F.col("part").alias("p__")).agg(F.ceil(F.count(F.lit(1)) / _PORTION).cast("int").alias("turns"))
+    at = (F.col("shard") == F.col("s__")) & (F.col("leaf") == F.col("l__")) & (F.col("part") == F.col("p__"))
+    group = F.struct("shard", "leaf", "part", "turn").alias("group")
+    ask = sent.join(turns, at).withColumn("turn", F.pmod(F.xxhash64("id"), F.col("turns")).cast("int")).select(group, F.lit(True).alias("asks"), "id", "vector")
+    held = home.join(turns, at).withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).select(group, F.lit(False).alias("asks"), "id", "vector")
+    second = held.unionByName(ask).repartition("group").sortWithinPartitions("group", "asks").mapInArrow(_other_leaves(k, least, factor), _FOUND)
+    return first.unionByName(second)
+
+
+def _search(shards: DataFrame, base: DataFrame, k: int, least: float, factor: float, block: int) -> DataFrame:
+    """id, neighbour, similarity over the distinct vectors of base (id, vector), within the shards (shard, id)."""
+    shards = stage(shards, "shards")
+    sizes = shards.groupBy(F.col("shard").alias("s__")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    large = stage(sizes.where(F.col("n") > block), "sizes")
+    placed = shards.join(sizes.select("s__"), F.col("shard") == F.col("s__"), "left_semi").withColumnRenamed("id", "i__")
+    placed = placed.join(base, F.col("i__") == F.col("id")).select("shard", "id", "vector")
+    none = large.isEmpty()
+    small = placed if none else placed.join(large, F.col("shard") == F.col("s__"), "left_anti")
+    group = F.struct("shard", F.lit(0).cast("long").alias("leaf"), F.lit(0).alias("part")).alias("group")
+    found = small.select(group, "id", "vector").repartition("group").sortWithinPartitions("group").mapInArrow(_own_leaf(k, least, factor), _FOUND)
+    if not none:
+        found = found.unionByName(_large(stage(placed.join(large, F.col("shard") == F.col("s__")).select("shard", "n", "id", "vector"), "large"), k, least, factor, block))
+    return found.select("id", "neighbour", "similarity")
+
+
+def _best(by: str, last: str, k: int) -> tuple[Column, Column]:
+    r = F.row_number().over(W.partitionBy(by).orderBy(F.desc("similarity"), last))
+    return r, F.col("rank") <= k
+
+
+def _rows(df: DataFrame, id_col: str, mz: str, intensity: str) -> DataFrame:
+    cols = (F.col(id_col).cast("long").alias("id"), F.col(mz).cast("array<double>").alias("mz"), F.col(intensity).cast("array<double>").alias("i"))
+    return df.select(*cols).where(F.col("id").isNotNull())
+
+
+def nearest(df: DataFrame, id_col: str, mz: str, intensity: str, k: int = 5, least: float = 0.75, factor: float = 1.0, exact: bool = False, strongest_bins: int = 7, heavy: float = 0.5, width: float = 0.1, block: int = 800) -> DataFrame:
     """id, neighbour, similarity, rank: up to k most similar other vectors with a similarity of at least `least`.
 
     Rows that are not usable (see vectors.binned), among them null, empty and unequal lists, have no neighbours and are
     none; rows that repeat an id count once; equal similarities are ordered by the smaller id. Very long lists are used
-    whole. Extra columns are ignored. An empty table gives an empty result.
+    whole. Extra columns are ignored. An empty table gives an empty result. With exact=True and factor 1 no neighbour is
+    missed; the work then grows with the square of the commonest bins' rows where trees cannot prune.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(mz).cast("array<double>").alias("mz"), F.col(intensity).cast("array<double>").alias("i")).where(F.col("id").isNotNull())
-    keyed = rows.mapInArrow(_key_rows(strongest_bins, shared, width), _KEY_SCHEMA)
-    links = keyed.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_lead_rows(shared), "u long, v long")
-    shards = components(links)
-    sizes = shards.groupBy(F.col("root").alias("r__")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    vectors = rows.mapInArrow(_vectors(width), "id long, vector binary").groupBy("id").agg(F.first("vector").alias("vector"))
-    placed = vectors.join(shards, F.col("id") == F.col("node")).join(sizes, F.col("root") == F.col("r__"), "left")
-    blocks = F.coalesce(F.ceil(F.col("n") / block).cast("int"), F.lit(1))
-    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    # a shard beyond `block` vectors is searched in pairs of blocks, so that no task holds a whole large shard
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    placed = placed.select("root", "id", "vector", mine.alias("b"), other.alias("o"))
-    same = F.col("b") == F.col("o")
-    side = lambda q, i, j: F.struct(F.lit(q).alias("asks"), (same | F.lit(not q)).alias("answers"), F.col(i).alias("i"), F.col(j).alias("j"))
-    roles = F.when(same, F.array(side(True, "b", "o"))).otherwise(F.array(side(True, "b", "o"), side(False, "o", "b")))
-    jobs = placed.select("root", "id", "vector", F.explode(roles).alias("x"))
-    jobs = jobs.select(F.struct("root", "x.i", "x.j").alias("shard"), "id", "vector", "x.asks", "x.answers")
-    found = jobs.repartition("shard").sortWithinPartitions("shard").mapInArrow(_shards(k, least, factor), "id long, neighbour long, similarity double, rank int")
-    if sizes.limit(1).count() == 0:
-        return found
-    best = W.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if not 0 < least <= 1:
+        raise ValueError("least must be above 0 and not above 1")
+    vectors = stage(_rows(df, id_col, mz, intensity).mapInArrow(_vectors(width), "id long, digest binary, vector binary"), "vectors")
+    members = vectors.groupBy("id").agg(F.min("digest").alias("digest"))
+    groups = members.groupBy("digest").agg(F.min("id").alias("u"), F.count(F.lit(1)).alias("copies"))
+    groups = stage(groups, "groups")
+    # equal vectors have equal keys, so the keys may come from all rows; only one of equal vectors is searched
+    single = groups.select(F.col("u").alias("r__"))
+    base = vectors.join(groups.select("u", F.col("digest").alias("d__")), (F.col("id") == F.col("u")) & (F.col("digest") == F.col("d__"))).groupBy("id").agg(F.first("vector").alias("vector"))
+    shards = _by_prefix(base, least) if exact else _by_links(vectors, strongest_bins, heavy)
+    shards = shards.join(single, F.col("id") == F.col("r__"), "left_semi")
+    found = _search(shards, base, k, least, factor, block).distinct()
+    rank, top = _best("id", "neighbour", k)
+    found = found.withColumn("rank", rank).where(top)
+    # distinct vectors stand for their ids: as neighbours for the k + 1 smallest, as askers for all; equal vectors are
+    # neighbours of each other
+    groups = members.join(groups.where(F.col("copies") > 1), "digest").select("u", F.col("id").alias("member"))
+    few = groups.withColumn("r", F.row_number().over(W.partitionBy("u").orderBy("member"))).where(F.col("r") <= k + 1).select(F.col("u").alias("n__"), "member")
+    wide = found.join(few, F.col("neighbour") == F.col("n__"), "left").select("id", F.coalesce("member", "neighbour").alias("neighbour"), "similarity")
+    wide = wide.unionByName(few.select(F.col("n__").alias("id"), F.col("member").alias("neighbour"), F.lit(1.0).alias("similarity")))
+    rank, top = _best("id", "neighbour", k + 1)
+    wide = wide.withColumn("rank", rank).where(top)
+    each = wide.join(groups, F.col("id") == F.col("u"), "left").select(F.coalesce("member", "id").alias("id"), "neighbour", "similarity").where(F.col("id") != F.col("neighbour"))
+    rank, top = _best("id", "neighbour", k)
+    return each.withColumn("rank", rank).where(top)
+
+
+def _blocks(k: int, width: int = 4_000):
+    """mapInArrow (block, asks, id, vector) sorted by block, its vectors first: the k best of the block for each query."""
+
+    def run(batches):
+        at, own, parts = None, [], None
+
+        def load():
+            out = []
+            for s in range(0, len(own), width):
+                rows = sorted(own[s : s + width])
+                off, bins, w = from_binary([r[1] for r in rows])
+                cols, inv = np.unique(bins, return_inverse=True)
+                x = np.zeros((len(cols), len(rows)))
+                x[inv, np.repeat(np.arange(len(rows)), np.diff(off))] = w
+                out.append((np.array([r[0] for r in rows], np.int64), cols, x))
+            return out
+
+        def ask(i, v):
+            _, bins, w = from_binary([v])
+            best = []
+            for ids, cols, x in parts:
+                c = np.minimum(np.searchsorted(cols, bins), len(cols) - 1)
+                same = cols[c] == bins
+                s = np.round(w[same] @ x[c[same]], 6)
+                s[ids == i] = -1
+                few = np.flatnonzero(s >= np.partition(s, -k)[-k]) if len(s) > k else np.arange(len(s))
+                few = few[s[few] > 0]
+                best += zip((-s[few]).tolist(), ids[few].tolist(), strict=True)
+            return sorted(best)[:k]
+
+        for b in batches:
+            who, other, sim = [], [], []
+            for g, asks, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != at:
+                    at, own, parts = g, [], None
+                if not asks:
+                    own.append((i, v))
+                    continue
+                if parts is None:
+                    parts = load()
+                for s, j in ask(i, v):
+                    who.append(i)
+                    other.append(j)
+                    sim.append(-s)
+            yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(other, pa.int64()), pa.array(sim, pa.float64())], ["id", "neighbour", "similarity"])
+
+    return run
+
+
+def nearest_of(df: DataFrame, id_col: str, mz: str, intensity: str, asks: Column, k: int = 5, width: float = 0.1, block: int = 20_000) -> DataFrame:
+    """id, neighbour, similarity, rank: the k most similar other vectors, at any similarity above zero, of the rows that
+    `asks` (over id) names, exactly: the stated queries go through all rows in blocks of about `block` vectors.
+
+    Nulls, repeats, ties, extra columns and empty tables as with nearest."""
+    vectors = _rows(df, id_col, mz, intensity).mapInArrow(_vectors(width), "id long, digest binary, vector binary")
+    vectors = stage(vectors.groupBy("id").agg(F.min(F.struct("digest", "vector")).alias("v")).select("id", "v.vector"), "vectors")
+    blocks = max(1, -(-vectors.count() // block))
+    own = vectors.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"), "id", "vector")
+    ask = vectors.where(asks).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "id", "vector")
+    found = own.unionByName(ask).repartition("block").sortWithinPartitions("block", "asks").mapInArrow(_blocks(k), "id long, neighbour long, similarity double")
+    rank, top = _best("id", "neighbour", k)
+    return found.withColumn("rank", rank).where(top)

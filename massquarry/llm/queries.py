@@ -57,6 +57,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return n.select(F.least("id", "neighbour").alias("row_a"), F.greatest("id", "neighbour").alias("row_b")).distinct()
 
 
+def p3_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """The five most similar other train spectra, at any similarity, of every train spectrum whose row_offset is divisible
+    by 20."""
+    n = knn.nearest_of(_table(spark, d, "train"), "row_offset", "ms2_mzs", "ms2_normalized_intensities", F.col("id") % 20 == 0)
+    return n.select(F.col("id").alias("row_offset"), F.col("neighbour"), "similarity", "rank")
+
+
 def _overlaps(spark: SparkSession, d: str) -> DataFrame:
     cols = ["ms2_mzs", "ms2_normalized_intensities", "precursor_mz"]
     test, train = _table(spark, d, "test").select("spectrum_id", *cols), _table(spark, d, "train").select("row_offset", *cols)
@@ -132,7 +139,7 @@ def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
     return encoding.repair(_table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p5_found, p5_report, p7_percentiles, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p3_nearest, p5_found, p5_report, p7_percentiles, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
 
 def _usable(name: str, id_col: str) -> str:
     """SQL of the usable spectra's bins, scaled to length one."""
@@ -147,6 +154,8 @@ ORACLE = {
   FROM (SELECT s.molecule_id, c.candidate_connectivity_key, max(c.score) AS score
         FROM candidate_pool c JOIN (SELECT DISTINCT molecule_id, spectrum_id FROM test WHERE molecule_id IS NOT NULL) s ON c.query_id = s.spectrum_id
         WHERE c.score IS NOT NULL AND NOT isnan(c.score) AND c.candidate_connectivity_key IS NOT NULL GROUP BY ALL)) WHERE r <= 10""",
+    "p3_nearest": f"""WITH {_usable('train', 'row_offset')}, s AS (SELECT q.id, r.id AS n, round(sum(q.w * r.w), 6) AS s FROM train3 q JOIN train3 r ON q.bin = r.bin AND q.id <> r.id WHERE q.id % 20 = 0 GROUP BY 1, 2)
+ SELECT id AS row_offset, n AS neighbour, s AS similarity, row_number() OVER (PARTITION BY id ORDER BY s DESC, n) AS rank FROM s WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, n) <= 5""",
     "p5_found": f"""WITH {_usable('test', 'spectrum_id')}, {_usable('train', 'row_offset')}
  SELECT t.id AS spectrum_id, r.id AS row_offset FROM test3 t JOIN train3 r ON t.bin = r.bin AND abs(t.p - r.p) < 0.01 GROUP BY 1, 2 HAVING round(sum(t.w * r.w), 6) > 0.95""",
     "p9_found": """WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents), e AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
