@@ -2,13 +2,14 @@
 
 A value is quantised to the top `BITS` bits of its double, reordered so that integers compare as the values do: sign,
 exponent and 12 bits of mantissa, a relative resolution of 2**-12 over all doubles. A digest counts values in nodes of
-the dyadic tree over that universe; node x at depth d covers the universe values whose top d bits are x's. Nodes that
-hold less than their share of the total move up, so a digest keeps O(log(universe) / error) nodes. Digests merge by
-adding the counts of equal nodes; compressing afterwards keeps the bound.
-
-The rank error is deterministic: a node moved up at most BITS levels, and each level adds at most threshold - 1 values
-per node on a path, so with threshold = floor(error * n / BITS) the rank of an answer is off by at most error * n.
-Merging digests that were compressed with their own totals adds their errors, which again sum to error * n.
+the dyadic tree over that universe; node x at depth d covers the universe values whose top d bits are x's. Siblings that
+hold together with their parent less than the threshold floor(error * n / BITS) move up into it, so a digest of n values
+keeps at most min(n, 3 * BITS / error) nodes; digests of fewer than 2 * BITS / error values are exact. Digests merge by
+adding the counts of equal nodes.
+
+The rank error is deterministic: a node above the leaves never holds more than error * n / BITS values, which adding
+digests and compressing sums keeps, however often either happens. What an answer may miss or count too much lies in the
+at most BITS nodes above one leaf, so its rank is off by at most error * n.
 """
 
 from __future__ import annotations
@@ -35,41 +36,57 @@ def value_of(x: np.ndarray) -> np.ndarray:
     return u.view(np.float64)
 
 
+def _added(g: np.ndarray, x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted by group and node, with the counts of equal ones added."""
+    order = np.lexsort((x, g))
+    g, x, c = g[order], x[order], c[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (x[1:] != x[:-1])
+    at = np.flatnonzero(new)
+    return (g[at], x[at], np.add.reduceat(c, at)) if len(at) else (g, x, c)
+
+
 def compress(group: np.ndarray, node: np.ndarray, count: np.ndarray, threshold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """group, node, count of the compressed digests of all groups at once. Nodes are numbered as in a heap: 1 is the
     root, 2x and 2x + 1 are the children of x. threshold: by group number."""
+    group, node, count = _added(group, node, count)
+    small = threshold[group] < 2  # nothing of these groups can move
+    kept = [(group[small], node[small], count[small])]
+    group, node, count = group[~small], node[~small], count[~small]
     depth = np.frexp(node.astype(float))[1] - 1
-    kept = []
     g, x, c = (np.zeros(0, np.int64),) * 3
     for level in range(BITS, 0, -1):
-        here = depth == level
-        g, x, c = np.concatenate([g, group[here]]), np.concatenate([x, node[here]]), np.concatenate([c, count[here]])
+        here, above = depth == level, depth == level - 1
+        g, x, c = _added(np.concatenate([g, group[here]]), np.concatenate([x, node[here]]), np.concatenate([c, count[here]]))
         if not len(g):
             continue
-        order = np.lexsort((x, g))
-        g, x, c = g[order], x[order], c[order]
-        new = np.ones(len(g), bool)
-        new[1:] = (g[1:] != g[:-1]) | (x[1:] != x[:-1])
+        # siblings with their parent, which stays where it is
+        fg, fx = np.concatenate([g, group[above]]), np.concatenate([x >> 1, node[above]])
+        order = np.lexsort((fx, fg))
+        new = np.ones(len(order), bool)
+        new[1:] = (fg[order][1:] != fg[order][:-1]) | (fx[order][1:] != fx[order][:-1])
         at = np.flatnonzero(new)
-        g, x, c = g[at], x[at], np.add.reduceat(c, at)
-        # siblings together
-        new = np.ones(len(g), bool)
-        new[1:] = (g[1:] != g[:-1]) | (x[1:] >> 1 != x[:-1] >> 1)
-        at = np.flatnonzero(new)
-        both = np.add.reduceat(c, at)
-        up = np.repeat(both < threshold[g[at]], np.diff(np.append(at, len(g))))
+        total = np.add.reduceat(np.concatenate([c, count[above]])[order], at)
+        family = np.empty(len(order), np.int64)
+        family[order] = np.repeat(total, np.diff(np.append(at, len(order))))
+        up = family[: len(g)] < threshold[g]
         kept.append((g[~up], x[~up], c[~up]))
         g, x, c = g[up], x[up] >> 1, c[up]
     root = depth == 0
-    g, x, c = np.concatenate([g, group[root]]), np.concatenate([x, node[root]]), np.concatenate([c, count[root]])
-    kept.append((g, x, c))
-    g, x, c = (np.concatenate(k) for k in zip(*kept, strict=True))
-    order = np.lexsort((x, g))
-    g, x, c = g[order], x[order], c[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (x[1:] != x[:-1])
-    at = np.flatnonzero(new)
-    return (g[at], x[at], np.add.reduceat(c, at)) if len(at) else (g, x, c)
+    kept.append((np.concatenate([g, group[root]]), np.concatenate([x, node[root]]), np.concatenate([c, count[root]])))
+    return _added(*(np.concatenate(k) for k in zip(*kept, strict=True)))
+
+
+def _codes(cols: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each row's group, null-safe, and a row of each group."""
+    code = np.zeros(len(cols[0]), np.int64)
+    for c in cols:
+        e = c.dictionary_encode(null_encoding="encode")
+        code = code * (len(e.dictionary) + 1) + e.indices.to_numpy(zero_copy_only=False)
+        code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+    first = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    return code, first
 
 
 def _runs(cols: list[pa.Array]) -> np.ndarray:
@@ -83,32 +100,43 @@ def _runs(cols: list[pa.Array]) -> np.ndarray:
     return start
 
 
-def _partial(keys: list[str], error: float):
-    """mapInArrow (keys, value): digests of each batch, compressed with the batch's own totals."""
+def _partial(keys: list[str], error: float, held: int = 400_000):
+    """mapInArrow (keys, value): digests over all batches of a task. `held` nodes are kept at a time; what then cannot be
+    compressed to half, because it is many small groups, is given out."""
 
     def run(batches):
+        state, n = [], 0
+
+        def squeeze():
+            t = pa.Table.from_batches(state).combine_chunks()
+            cols = [t[k].combine_chunks() for k in keys]
+            code, first = _codes(cols)
+            count = t["count"].to_numpy()
+            total = np.bincount(code, count)
+            g, x, c = compress(code, t["node"].to_numpy(), count, np.floor(error * total / BITS))
+            at = pa.array(first[g])
+            return pa.RecordBatch.from_arrays([*(k.take(at) for k in cols), pa.array(x), pa.array(c.astype(np.int64))], [*keys, "node", "count"])
+
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [b.column(k) for k in keys]
-            code = np.zeros(b.num_rows, np.int64)
-            for c in cols:
-                e = c.dictionary_encode(null_encoding="encode")
-                code = code * (len(e.dictionary) + 1) + e.indices.to_numpy(zero_copy_only=False)
-                code = np.unique(code, return_inverse=True)[1].astype(np.int64)
-            total = np.bincount(code)
-            first = np.zeros(len(total), np.int64)
-            first[code[::-1]] = np.arange(b.num_rows)[::-1]
             x = quantised(b.column("value__").to_numpy(zero_copy_only=False)) + (1 << BITS)
-            g, x, c = compress(code, x, np.ones(len(code), np.int64), np.floor(error * total / BITS))
-            at = pa.array(first[g])
-            yield pa.RecordBatch.from_arrays([*(k.take(at) for k in cols), pa.array(x), pa.array(c)], [*keys, "node", "count"])
+            state.append(pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(x), pa.array(np.ones(len(x), np.int64))], [*keys, "node", "count"]))
+            n += len(x)
+            if n >= held:
+                out = squeeze()
+                state, n = [out], out.num_rows
+                if n > held // 2:
+                    yield out
+                    state, n = [], 0
+        if n:
+            yield squeeze()
 
     return run
 
 
 def _recompress(keys: list[str], error: float, chunk: int = 300_000):
-    """mapInArrow over rows (keys, node, count, total) sorted by keys: compressed digests of whole groups."""
+    """mapInArrow over rows (keys, node, count) sorted by keys: compressed digests of whole groups, with their totals."""
 
     def close(t: pa.Table):
         t = t.combine_chunks()
@@ -116,10 +144,11 @@ def _recompress(keys: list[str], error: float, chunk: int = 300_000):
         start = _runs(cols)
         code = np.cumsum(start) - 1
         at = np.flatnonzero(start)
-        total = t["total"].to_numpy()
-        g, x, c = compress(code, t["node"].to_numpy(), t["count"].to_numpy(), np.floor(error * total[at] / BITS))
+        count = t["count"].to_numpy()
+        total = np.add.reduceat(count, at)
+        g, x, c = compress(code, t["node"].to_numpy(), count, np.floor(error * total / BITS))
         take = pa.array(at[g])
-        return pa.RecordBatch.from_arrays([*(k.take(take) for k in cols), pa.array(x), pa.array(c), pa.array(total[at[g]])], [*keys, "node", "count", "total"])
+        return pa.RecordBatch.from_arrays([*(k.take(take) for k in cols), pa.array(x), pa.array(c), pa.array(total[g])], [*keys, "node", "count", "total"])
 
     def run(batches):
         held, n = [], 0
@@ -143,33 +172,28 @@ def digests(df: DataFrame, keys: list[str], value: str, error: float = 0.005) ->
     """keys, node, count, total: one row per node of the digest of every group.
 
     Null, NaN and infinite values are not measured and left out; null keys form a group of their own; a group without
-    any value has no digest; an empty table gives an empty result. Every batch is digested before the shuffle, so a
-    group of any size leaves each batch as O(BITS / error) nodes.
+    any value has no digest; an empty table gives an empty result. Every task digests its values before the shuffle, so a
+    group of any size leaves a task as at most 3 * BITS / error nodes.
     """
     v = F.col(value).cast("double")
     rows = df.select(*keys, v.alias("value__")).where(F.col("value__").isNotNull() & ~F.isnan("value__") & (F.abs("value__") != float("inf")))
     types = [df.schema[k] for k in keys]
-    # half of the error for each of the two compressions
-    part = rows.mapInArrow(_partial(keys, error / 2), T.StructType([*types, T.StructField("node", T.LongType()), T.StructField("count", T.LongType())]))
-    return merge(part, keys, error / 2)
+    part = rows.mapInArrow(_partial(keys, error), T.StructType([*types, T.StructField("node", T.LongType()), T.StructField("count", T.LongType())]))
+    return merge(part, keys, error)
 
 
-def merge(nodes: DataFrame, keys: list[str], error: float) -> DataFrame:
-    """Digests of coarser groups from rows (keys, node, count): equal nodes are added, then compressed; `error` is added
-    to that of the rows."""
+def merge(nodes: DataFrame, keys: list[str], error: float = 0.005) -> DataFrame:
+    """Digests of coarser groups from rows (keys, node, count): equal nodes are added, then compressed. The rank error is
+    the larger one of the rows' and `error`."""
     out = T.StructType([*(nodes.schema[k] for k in keys), *(T.StructField(n, T.LongType()) for n in ("node", "count", "total"))])
     added = nodes.groupBy(*keys, "node").agg(F.sum("count").alias("count"))
-    totals = nodes.groupBy(*(F.col(k).alias(f"{k}__") for k in keys)).agg(F.sum("count").alias("total"))
-    same = F.lit(True)
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"{k}__"))
-    rows = added.join(totals, same).select(*keys, "node", "count", "total")
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_recompress(keys, error), out)
+    return added.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_recompress(keys, error), out)
 
 
 def _answers(keys: list[str], shares: list[float]):
     """mapInArrow over digests sorted by keys: the percentiles of each group, by running sums over nodes ordered by the
-    last universe position they cover, smaller nodes first."""
+    last universe position they cover, smaller nodes first. The answer is that last position: all that was counted before
+    lies at or below it."""
 
     def close(t: pa.Table):
         t = t.combine_chunks()
@@ -192,7 +216,7 @@ def _answers(keys: list[str], shares: list[float]):
             rank = np.ceil(s * total[at])
             k = np.searchsorted(place, np.arange(len(at)) + np.maximum(rank, 1) / (total[at] + 1.0) - 1e-12)
             x = order[np.minimum(k, len(order) - 1)]
-            out.append(value_of((low[x] + high[x]) // 2))
+            out.append(value_of(high[x]))
         take = pa.array(at)
         return pa.RecordBatch.from_arrays([*(c.take(take) for c in cols), pa.array(total[at]), *(pa.array(o) for o in out)], [*keys, "total", *(f"q{k}" for k in range(len(shares)))])
 

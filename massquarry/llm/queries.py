@@ -88,23 +88,45 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 _SHARES = {"p01": 0.01, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
 #: Fixed value: the number that stands for a missing precursor error.
 _NO_ERROR = -999.0
+_RANK_ERROR = 0.005
 
 
-def _daily_digests(spark: SparkSession, d: str) -> DataFrame:
-    """Digests per library, adduct, instrument and day of first delivery; spelling variants of an instrument are one."""
+def _errors(spark: SparkSession, d: str) -> DataFrame:
+    """Measured precursor errors with library, adduct, instrument and day of first delivery; spelling variants of an
+    instrument are one."""
     t = _table(spark, d, "train").groupBy("row_offset").agg(*(F.first(c).alias(c) for c in ("ingest_lib", "adduct", "instrument_type", "precursor_error_ppm")), F.min("ingested_at").alias("at"))
     t = t.where(F.col("precursor_error_ppm") != _NO_ERROR)
-    t = t.withColumns({"instrument_type": F.upper(F.regexp_replace("instrument_type", "[^A-Za-z0-9]", "")), "day": F.to_date("at")})
-    return quantiles.digests(t, ["ingest_lib", "adduct", "instrument_type", "day"], "precursor_error_ppm")
+    return t.withColumns({"instrument_type": F.upper(F.regexp_replace("instrument_type", "[^A-Za-z0-9]", "")), "day": F.to_date("at")})
+
+
+_GROUP = ["ingest_lib", "adduct", "instrument_type"]
 
 
 def p7_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of the precursor error per library, adduct and instrument: of every day, and of all days (day is null),
-    whose digests are the sums of the days' digests."""
-    keys = ["ingest_lib", "adduct", "instrument_type"]
-    days = stage(_daily_digests(spark, d), "days")
-    whole = quantiles.percentiles(quantiles.merge(days, keys, 0.005), keys, _SHARES).withColumn("day", F.lit(None).cast("date"))
-    return quantiles.percentiles(days, [*keys, "day"], _SHARES).unionByName(whole)
+    whose digests are the sums of the days' digests. The rank error is at most 0.5 %."""
+    days = stage(quantiles.digests(_errors(spark, d), [*_GROUP, "day"], "precursor_error_ppm", _RANK_ERROR), "days")
+    whole = quantiles.percentiles(quantiles.merge(days, _GROUP, _RANK_ERROR), _GROUP, _SHARES).withColumn("day", F.lit(None).cast("date"))
+    return quantiles.percentiles(days, [*_GROUP, "day"], _SHARES).unionByName(whole)
+
+
+def p7_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """Per library, adduct and instrument: the values, and whether the rank of each percentile over all days, counted in
+    the values, is within the stated error. A value stands for its cell, 2**-12 of it wide."""
+    e = _errors(spark, d)
+    whole = quantiles.percentiles(quantiles.merge(stage(quantiles.digests(e, [*_GROUP, "day"], "precursor_error_ppm", _RANK_ERROR), "days"), _GROUP, _RANK_ERROR), _GROUP, _SHARES)
+    v = e.select(*(F.col(c).alias(f"{c}__") for c in _GROUP), F.col("precursor_error_ppm").alias("v")).where(~F.isnan("v") & (F.abs("v") != float("inf")))
+    same = F.lit(True)
+    for c in _GROUP:
+        same &= F.col(c).eqNullSafe(F.col(f"{c}__"))
+    near = lambda q: F.abs(q) * 2.0**-11
+    counts = [F.count_if(F.col("v") < F.col(q) - near(F.col(q))).alias(f"below_{q}") for q in _SHARES] + [F.count_if(F.col("v") <= F.col(q) + near(F.col(q))).alias(f"upto_{q}") for q in _SHARES]
+    t = v.join(whole, same).groupBy(*_GROUP, "n").agg(F.count(F.lit(1)).alias("n_values"), *counts)
+    ok = F.col("n") == F.col("n_values")
+    for q, share in _SHARES.items():
+        rank, slack = F.greatest(F.ceil(F.lit(share) * F.col("n")), F.lit(1)), F.lit(_RANK_ERROR) * F.col("n")
+        ok &= (F.col(f"below_{q}") < rank + slack) & (F.col(f"upto_{q}") >= rank - slack)
+    return t.select(*_GROUP, "n_values", ok.alias("within"))
 
 
 TOKENIZER = os.environ.get("MASSQUARRY_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -139,7 +161,7 @@ def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
     return encoding.repair(_table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p3_nearest, p5_found, p5_report, p7_percentiles, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_splits, p3_found, p3_nearest, p5_found, p5_report, p7_percentiles, p7_accuracy, p8_packing, p9_found, p9_report, p10_found, p10_repaired)}
 
 def _usable(name: str, id_col: str) -> str:
     """SQL of the usable spectra's bins, scaled to length one."""
@@ -158,6 +180,8 @@ ORACLE = {
  SELECT id AS row_offset, n AS neighbour, s AS similarity, row_number() OVER (PARTITION BY id ORDER BY s DESC, n) AS rank FROM s WHERE s > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY s DESC, n) <= 5""",
     "p5_found": f"""WITH {_usable('test', 'spectrum_id')}, {_usable('train', 'row_offset')}
  SELECT t.id AS spectrum_id, r.id AS row_offset FROM test3 t JOIN train3 r ON t.bin = r.bin AND abs(t.p - r.p) < 0.01 GROUP BY 1, 2 HAVING round(sum(t.w * r.w), 6) > 0.95""",
+    "p7_accuracy": """SELECT ingest_lib, adduct, upper(regexp_replace(instrument_type, '[^A-Za-z0-9]', '', 'g')) AS instrument_type, count(*) AS n_values, true AS within
+ FROM (SELECT DISTINCT row_offset, ingest_lib, adduct, instrument_type, precursor_error_ppm FROM train) WHERE precursor_error_ppm <> -999.0 AND isfinite(precursor_error_ppm) GROUP BY 1, 2, 3""",
     "p9_found": """WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents), e AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
  dw AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 10, 1))) r(k)), ew AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM e, unnest(range(1, greatest(len(w) - 10, 1))) r(k))
  SELECT DISTINCT doc_id, item_id FROM dw JOIN ew USING (g)""",
