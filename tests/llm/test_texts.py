@@ -79,6 +79,43 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaks(d, i.limit(0), "doc_id", "item_id").count() == 0
 
 
+QUESTION = "Yesterday morning Alice poured three hundred grams of caffeine into 2.5 litres of boiling water before the copper kettle was cold"
+VARIANTS = [
+    QUESTION.replace("Alice", "Bob"),
+    QUESTION.replace("three hundred", "fifty"),
+    QUESTION.replace("2.5", "3"),
+    QUESTION.replace("grams", "mg").replace("caffeine", "theobromine"),
+    QUESTION.replace("Alice", "Marie Curie").replace("three hundred", "twelve").replace("caffeine", "Corbaamide").replace("2.5", "17"),
+]
+
+
+def test_reparameterised_questions_are_found(spark):
+    items = [(1, QUESTION), (2, "Which of the two colours did the girl like better when she saw the old red house near the sea again")]
+    items.append((3, items[1][1].replace("red", "green")))
+    docs = [(k, "some text before it. " + v + " and after it") for k, v in enumerate(VARIANTS)]
+    docs += [(100, items[1][1].replace("red", "purple")), (101, items[1][1].replace("red", "green").upper()), (102, QUESTION.upper()), (103, QUESTION.replace("copper kettle", "kettle"))]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): (x.exact_windows, x.variant_windows) for x in leakage.leaks(d, i, "doc_id", "item_id").collect()}
+    for k in range(len(VARIANTS)):
+        assert got[k, 1][1] > 0, k
+    assert (100, 2) not in got or got[100, 2][1] == 0  # purple is in no item, so no slot
+    assert got[101, 3][0] > 0 and got[101, 3][0] > got.get((101, 2), (0, 0))[0] and got[101, 2][1] > 0  # red and green vary between items
+    assert got[102, 1] == (len(leakage.words_of(QUESTION)[0]) - 11, 0) or got[102, 1][0] == len(leakage.words_of(QUESTION)[0]) - 11
+
+
+def test_rows_of_numbers_join_their_copies_only(spark):
+    r = random.Random(5)
+    row = lambda: " ".join(str(r.randrange(100, 999)) for _ in range(40))
+    item = row()
+    docs = [(k, row()) for k in range(50)] + [(99, "so " + item + " it is")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = [(x.doc_id, x.exact_windows, x.variant_windows) for x in leakage.leaks(d, i, "doc_id", "item_id").collect()]
+    assert got == [(99, 29, 0)]
+    t = leakage.Templates(12, 6)
+    *_, key, _, _ = t.windows([docs[0][1], docs[1][1]])
+    assert len(set(key.tolist())) == len(key)
+
+
 CLEAN = "Die Prüfung genügt für übrige Größen – °C ± 5 µL; «déjà vu» à côté, señales después, ção não está. “as is” I’d rather Спектр измерен при энергии и пик выше Źródło część później zostało"
 
 
