@@ -1,16 +1,18 @@
-"""Garbled text from wrong character encodings: a hidden Markov model over the words of a text.
+"""Garbled text from wrong character encodings: a hidden Markov model over the characters of a text.
 
 States are "clean", one per encoding pair (bytes of one encoding read as another) and "lost" (replacement characters).
-A state emits the characters of a word by its own bigrams, spaces at both ends included; states change between words and
-are sticky, so one garbled word is told by itself if it is odd enough, and a weakly garbled one by its neighbours. Words
-of plain ASCII look the same in all states and are passed over.
-
-Training needs no labels. The distinct words of the whole corpus are counted. A word whose inverse
-transform by some pair is a clearly more frequent word, or is valid UTF-8 beyond ASCII, is not clean; the others train
-the clean state, and their images under each pair train that pair's state.
-
-The most likely path labels every word; each run of words with one label is a span, to which the inverse transform of
-its pair is applied.
+A state emits a character by what comes before it; characters of plain ASCII after one another look the same in all states
+and are passed over. A stretch begins and ends at the cost of `enter` and `leave`, and goes on for free, so one garbled letter is
+told by itself if it is odd enough, and a weakly garbled one by its neighbours. Both may happen at any character; between
+two characters beyond ASCII of one word they cost `within` more, as words are mostly garbled as a whole.
+
+Training needs no labels. The distinct words of the whole corpus are counted. A word whose inverse transform by some pair
+is a clearly more frequent word, or which holds valid UTF-8 beyond ASCII, is not clean; the others train the clean state, and their
+images under each pair train that pair's state. All of this stays distributed; only counts of character pairs reach the
+driver. Characters that no pair can produce count as one, so there are fewer than a million pairs for each state.
+
+The most likely path labels every character; each stretch of one label is a span, to which the inverse transform of its
+pair is applied.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from massquarry.workspace import stage
+
 # Encodings that text was written in, and those that it was wrongly read as.
 WRITTEN = ("utf-8", "cp1252", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "koi8-r", "cp866", "cp852", "cp850", "cp437", "mac-roman", "mac-cyrillic")
 READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "koi8-r", "cp866", "cp852", "cp850", "cp437", "mac-roman", "mac-cyrillic")
@@ -29,6 +33,7 @@ READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "iso8859-2", "iso8859-5", "k
 LOST = "�"
 _DIGITS = re.compile(r"\d+")
 _WORD = re.compile(r"[^ \t\r\n]+")
+_RUN = re.compile(r"[^\x00-\x7f]+")
 
 
 def _table(encoding: str) -> list[str]:
@@ -84,9 +89,18 @@ def pairs() -> list[Pair]:
     return out + [Pair("utf-8", r, 2) for r in ("cp1252", "latin-1", "cp1251", "cp1250", "cp437", "cp850", "mac-roman", "cp866")]
 
 
-def shape(word: str) -> str:
-    """The word as the model sees it: numbers are all alike."""
-    return _DIGITS.sub("0", word)
+#: Characters beyond ASCII that a wrong reading can produce.
+PRODUCED = frozenset(c for r in READ_AS for c in _table(r) if c > "\x7f") | {LOST}
+#: Stands for all other characters beyond ASCII, which are clean wherever they are.
+OTHER = "\u2fff"
+
+
+def shape(text: str) -> str:
+    """The text as the model sees it: numbers are all alike, and so are characters that no wrong reading produces."""
+    return "".join(c if c <= "\x7f" or c in PRODUCED else OTHER for c in text).translate(_ZEROS)
+
+
+_ZEROS = str.maketrans("123456789", "000000000")
 
 
 def words_of(text: str) -> list[tuple[int, int]]:
@@ -95,100 +109,71 @@ def words_of(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _WORD.finditer(text) if not m.group().isascii()]
 
 
+def _pairs_in(s: str):
+    """Characters after one another of which one at least is beyond ASCII."""
+    return [(x, y) for x, y in zip(s, s[1:], strict=False) if x > "\x7f" or y > "\x7f"]
+
+
 class Model:
-    """Bigram emissions of all states as arrays, and transitions."""
+    """Emissions of all states by character pairs, and transitions."""
 
-    def __init__(self, counts: dict[str, int], enter: float = 7.0, leave: float = 2.0, beta: float = 2.0):
-        """counts: occurrences of distinct words (see shape) in the corpus."""
-        self.enter, self.leave, self.beta = enter, leave, beta
+    def __init__(self, counts: dict[tuple[int, str, str], int], enter: float = 7.0, leave: float = 2.0, within: float = 6.0, beta: float = 2.0):
+        """counts: of (state, character, next character); state 0 is clean, 1 + i the i-th of pairs()."""
+        self.enter, self.leave, self.within, self.beta = enter, leave, within, beta
         every = pairs()
-        self.pairs: list[Pair] = []
-        clean: Counter = Counter()
-        for w, n in counts.items():
-            if LOST in w or any("\x80" <= c <= "\x9f" for c in w):
-                continue
-            bad = False
-            for p in every:
-                r = p.restore(w)
-                if r is None or r == w:
-                    continue
-                high = sum(c > "\x7f" for c in r)
-                if (p.back is None and high and not any("\x80" <= c <= "\x9f" for c in r)) or counts.get(r, 0) > 4 * n:
-                    bad = True
-                    break
-            if not bad:
-                clean[w] += n
-        tables = [self._bigrams(clean)]
-        seen = set()
-        for p in every:
-            own: Counter = Counter()
-            for w, n in clean.items():
-                g = p.garble(w)
-                if g is not None and g != w:
-                    own[g] += n
-            mark = hash(frozenset(own.items()))
-            if own and mark not in seen:
+        by: dict[int, Counter] = defaultdict(Counter)
+        for (s, x, y), n in counts.items():
+            by[s][x, y] += n
+        tables, self.pairs, seen = [by[0]], [], set()
+        for i, p in enumerate(every, 1):
+            mark = frozenset(by[i].items())
+            if mark and mark not in seen:  # pairs that the corpus does not tell apart are one
                 seen.add(mark)
                 self.pairs.append(p)
-                tables.append(self._bigrams(own))
-        tables.append(self._bigrams(Counter({LOST: 1, f"a{LOST}a": 1, f"a{LOST}{LOST}a": 1, f"{LOST}a": 1, f"a{LOST}": 1})))
+                tables.append(by[i])
+        lost: Counter = Counter()
+        for w in (LOST, f"a{LOST}a", f"a{LOST}{LOST}a", f"{LOST}a", f"a{LOST}"):
+            lost.update(_pairs_in(f" {w} "))
+        tables.append(lost)
         self.states = len(tables)
         self.labels = ["", *(p.name for p in self.pairs), "lost"]
-        # what is common to all states: characters beyond ASCII of any script that a state never emits
-        self.first = defaultdict(lambda: np.zeros(self.states))
-        self.both = defaultdict(dict)
-        self.single = defaultdict(lambda: np.zeros(self.states))
+        first, single, both = defaultdict(lambda: np.zeros(self.states)), defaultdict(lambda: np.zeros(self.states)), defaultdict(dict)
         for s, t in enumerate(tables):
-            for (a, b), n in t.items():
-                self.first[a][s] += n
-                self.single[b][s] += n
-                self.both[a, b][s] = n
+            for (x, y), n in t.items():
+                first[x][s] += n
+                single[y][s] += n
+                both[x, y][s] = n
         self.total = np.array([sum(t.values()) for t in tables], float)
-        self.first, self.single, self.both = dict(self.first), dict(self.single), dict(self.both)
+        self.first, self.single, self.both = dict(first), dict(single), dict(both)
 
-    @staticmethod
-    def _bigrams(words: Counter) -> Counter:
-        out: Counter = Counter()
-        for w, n in words.items():
-            s = f" {w} "
-            for a, b in zip(s, s[1:], strict=False):
-                if a > "\x7f" or b > "\x7f":
-                    out[a, b] += n
-        return out
-
-    def logs(self, a: str, b: str) -> np.ndarray:
-        """Log probability of b after a in every state, over pairs that hold a character beyond ASCII."""
+    def logs(self, x: str, y: str) -> np.ndarray:
+        """Log probability of y after x in every state, less that of the clean state."""
         z = np.zeros(self.states)
         # a character that a state never emits has one millionth of its mass; of ASCII characters each state has some
-        floor = 1e-3 if b <= "\x7f" else 1e-6
-        one = (self.single.get(b, z) + floor) / (self.total + 1)
+        floor = 1e-3 if y <= "\x7f" else 1e-6
+        one = (self.single.get(y, z) + floor) / (self.total + 1)
         n = z.copy()
-        for s, k in self.both.get((a, b), {}).items():
+        for s, k in self.both.get((x, y), {}).items():
             n[s] = k
-        return np.log((n + self.beta * one) / (self.first.get(a, z) + self.beta))
-
-    def emission(self, word: str) -> np.ndarray:
-        s = f" {shape(word)} "
-        out = np.zeros(self.states)
-        for a, b in zip(s, s[1:], strict=False):
-            if a > "\x7f" or b > "\x7f":
-                out += self.logs(a, b)
-        return out
+        out = np.log((n + self.beta * one) / (self.first.get(x, z) + self.beta))
+        return out - out[0]
 
-    def path(self, e: np.ndarray) -> np.ndarray:
-        """Most likely states of the words whose emissions are the rows of e."""
+    def path(self, e: np.ndarray, inside: list[bool]) -> np.ndarray:
+        """Most likely states of the characters whose emissions, less the clean one's, are the rows of e; inside: whether
+        a word goes on from the character before."""
         n, s = e.shape
-        back = np.zeros((n, s), np.int64)
+        back = np.zeros((n, s), np.int32)
         v = e[0].copy()
         v[1:] -= self.enter
         for k in range(1, n):
             best = int(np.argmax(v[1:])) + 1
-            if v[0] >= v[best] - self.leave:
+            more = self.within if inside[k] else 0.0
+            if v[0] >= v[best] - self.leave - more:
                 to_clean, from_clean = v[0], 0
             else:
-                to_clean, from_clean = v[best] - self.leave, best
+                to_clean, from_clean = v[best] - self.leave - more, best
             stay = v[1:]
-            come = to_clean - self.enter
+            come = to_clean - self.enter - more
             back[k, 1:] = np.where(stay >= come, np.arange(1, s), from_clean)
             back[k, 0] = from_clean
             v = np.concatenate([[to_clean], np.maximum(stay, come)]) + e[k]
@@ -200,38 +185,58 @@ class Model:
 
 
 class Labeller:
-    """The model with a memory of words, as one task uses it."""
+    """The model with a memory of words and character pairs, as one task uses it."""
 
     def __init__(self, model: Model):
-        self.m, self.known = model, {}
+        self.m, self.known, self.emissions = model, {}, {}
+
+    def emission(self, x: str, y: str) -> np.ndarray:
+        got = self.emissions.get((x, y))
+        if got is None:
+            got = self.emissions[x, y] = self.m.logs(x, y)
+        return got
+
+    def gain(self, word: str) -> np.ndarray:
+        """What the best stretch within a word gains over the clean state, by state."""
+        got = self.known.get(word)
+        if got is None:
+            run, got = np.zeros(self.m.states), np.zeros(self.m.states)
+            for x, y in _pairs_in(f" {word} "):
+                run = np.maximum(run, 0) + self.emission(x, y)
+                got = np.maximum(got, run)
+            if len(self.known) > 200_000:
+                self.known = {}
+            self.known[word] = got
+        return got
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
-        """begin, end, state of the garbled spans."""
+        """begin, end, state of the garbled stretches, which begin and end beyond ASCII."""
         if not text or text.isascii():
             return []
-        words = words_of(text)
-        if len(self.known) > 500_000:
-            self.known = {}
-        es, gain = [], 0.0
-        for a, b in words:
-            w = shape(text[a:b])
-            got = self.known.get(w)
-            if got is None:
-                e = self.m.emission(w)
-                got = self.known[w] = (e, max(0.0, float(e[1:].max() - e[0])))
-            es.append(got[0])
-            gain += got[1]
-        if gain < self.m.enter:  # no path can leave the clean state
+        s = shape(text)
+        total = np.zeros(self.m.states)
+        for a, b in words_of(text):
+            total += self.gain(s[a:b])
+        if total.max() < self.m.enter:  # no path can leave the clean state
             return []
-        states = self.m.path(np.array(es))
+        s = f" {s} "
+        # position i of the text is i + 1 here; the space at the end closes the text
+        at = [i for i in range(1, len(s)) if s[i] > "\x7f" or s[i - 1] > "\x7f"]
         out: list[tuple[int, int, int]] = []
-        before = 0
-        for (a, b), s in zip(words, states.tolist(), strict=True):
-            if s and s == before:  # ASCII words do not break a span
-                out[-1] = (out[-1][0], b, s)
-            elif s:
-                out.append((a, b, s))
-            before = s
+        for begin in range(0, len(at), _PART):
+            part = at[begin : begin + _PART]
+            inside = [s[i - 1] > "\x7f" and s[i] > " " for i in part]
+            states = self.m.path(np.array([self.emission(s[i - 1], s[i]) for i in part]), inside)
+            running = 0
+            for i, state in zip(part, states.tolist(), strict=True):
+                if s[i] <= "\x7f":  # ASCII within does not break a stretch
+                    running = running if state == running else 0
+                elif state and state == running:
+                    out[-1] = (out[-1][0], i, state)
+                else:
+                    running = state
+                    if state:
+                        out.append((i - 1, i, state))
         return out
 
     def repair(self, text: str, spans) -> tuple[str, int]:
@@ -240,21 +245,29 @@ class Labeller:
         for a, b, s in spans:
             out.append(text[at:a])
             piece = text[a:b]
-            r = None if s == self.m.states - 1 else self._inverse(piece, self.m.pairs[s - 1])
-            if r is None or LOST in r:
-                failed += 1
-            out.append(piece if r is None else r)
+            r, whole = (piece, False) if s == self.m.states - 1 else self._inverse(piece, self.m.pairs[s - 1])
+            failed += not whole or LOST in r
+            out.append(r)
             at = b
         out.append(text[at:])
         return "".join(out), failed
 
     @staticmethod
-    def _inverse(piece: str, pair: Pair) -> str | None:
-        whole = pair.restore(piece)
-        if whole is not None:
-            return whole
-        parts = [pair.restore(x) if not x.isascii() else x for x in re.split(r"([ \t\r\n]+)", piece)]
-        return None if any(p is None for p in parts) else "".join(parts)
+    def _inverse(piece: str, pair: Pair) -> tuple[str, bool]:
+        """The piece restored, as a whole or run by run, and whether no garbled run is left. A single character is no
+        garbled UTF-8, so one that stands alone in a stretch is left as it is."""
+        r = pair.restore(piece)
+        if r is not None:
+            return r, True
+        runs = re.split(r"([\x00-\x7f]+)", piece)
+        back = [x if x.isascii() else pair.restore(x) for x in runs]
+        left = any(y is None and (len(x) > 1 or pair.back is not None) for x, y in zip(runs, back, strict=True))
+        some = any(y is not None and y != x for x, y in zip(runs, back, strict=True))
+        return "".join(x if y is None else y for x, y in zip(runs, back, strict=True)), some and not left
+
+
+#: Characters of one text that are labelled at a time; their states take 1 MB per thousand.
+_PART = 20_000
 
 
 def _count(batches):
@@ -263,16 +276,93 @@ def _count(batches):
         c: Counter = Counter()
         for t in b.column(0).to_pylist():
             if t and not t.isascii():
-                c.update(shape(t[i:j]) for i, j in words_of(t))
+                c.update(t[i:j].translate(_ZEROS) for i, j in words_of(t))
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
 
 
+def _bigram_rows(states: list[int], counts: list[Counter]) -> pa.RecordBatch:
+    rows = [(s, x, y, n) for s, c in zip(states, counts, strict=True) for (x, y), n in c.items()]
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], ["state", "x", "y", "n"])
+
+
+_BIGRAMS = "state int, x string, y string, n long"
+
+
+def _plain(batches):
+    """mapInArrow (word, n): character pairs of all words, as state 0."""
+    for b in batches:
+        c: Counter = Counter()
+        for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for p in _pairs_in(f" {shape(w)} "):
+                c[p] += n
+        yield _bigram_rows([0], [c])
+
+
+def _readings(seen: dict[tuple[str, str], int]):
+    """mapInArrow (word, n): other readings of each word. A null one says that the word is not clean by itself. A reading
+    can only be a word that is four times as frequent if all its character pairs (seen) are."""
+
+    def run(batches):
+        every = pairs()
+        characters = {y for _, y in seen}
+        odd = lambda r: r.isascii() or any("\x80" <= c <= "\x9f" for c in r)
+        for b in batches:
+            words, ns, readings = [], [], []
+            for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                found: set[str | None] = set()
+                if LOST in w or any("\x80" <= c <= "\x9f" for c in w):
+                    found = {None}
+                else:
+                    runs = _RUN.findall(w)
+                    for p in every:
+                        # a part of a word may be garbled: UTF-8 of characters that the corpus holds elsewhere
+                        if p.back is None and any(r and r != x and not odd(r) and set(shape(r)) <= characters for x in runs for r in (p.restore(x),)):
+                            found = {None}
+                            break
+                        r = p.restore(w)
+                        if r is None or r == w:
+                            continue
+                        if p.back is None and not odd(r):
+                            found = {None}
+                            break
+                        if all(seen.get(x, 0) > 4 * n for x in _pairs_in(f" {shape(r)} ")):
+                            found.add(r)
+                for r in found:
+                    words.append(w)
+                    ns.append(n)
+                    readings.append(r)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(ns, pa.int64()), pa.array(readings, pa.string())], ["word", "n", "reading"])
+
+    return run
+
+
+def _images(batches):
+    """mapInArrow (word, n) of clean words: character pairs of each state."""
+    every = pairs()
+    for b in batches:
+        counts = [Counter() for _ in range(len(every) + 1)]
+        for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for s, g in enumerate([w, *(p.garble(w) for p in every)]):
+                if g is not None and (s == 0 or g != w):
+                    for p in _pairs_in(f" {shape(g)} "):
+                        counts[s][p] += n
+        yield _bigram_rows(list(range(len(counts))), counts)
+
+
 def train(df: DataFrame, text: str) -> Model:
     """A model of the words of all texts."""
-    words = df.select(F.col(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # ties in the order of the words, since the sums of floats depend on it
-    rows = words.orderBy(F.desc("n"), "word").collect()
-    return Model({r["word"]: r["n"] for r in rows})
+    words = stage(df.select(F.col(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    add = lambda t: t.groupBy("state", "x", "y").agg(F.sum("n").alias("n"))
+    # fewer than a million pairs: some 600 characters that a wrong reading can produce, one for the others, and ASCII
+    seen = {(r.x, r.y): r.n for r in add(words.mapInArrow(_plain, _BIGRAMS)).collect()}
+    other = words.mapInArrow(_readings(seen), "word string, n long, reading string")
+    own = words.select(F.col("word").alias("w__"), F.col("n").alias("n__"))
+    odd = other.join(own, F.col("reading") == F.col("w__"), "left").where(F.col("reading").isNull() | (F.col("n__") > 4 * F.col("n"))).select(F.col("word").alias("odd__")).distinct()
+    clean = words.join(odd, F.col("word") == F.col("odd__"), "left_anti")
+    # 256 characters of a reading and ASCII before and after them bound each state
+    rows = add(clean.mapInArrow(_images, _BIGRAMS)).collect()
+    return Model({(r.state, r.x, r.y): r.n for r in rows})
 
 
 def _repairs(model: Model):

@@ -155,3 +155,28 @@ def test_held_out_garble_is_found_and_restored(spark):
     assert got[903].unrestored >= 1 and 904 in got and got[904].restored.endswith("été")
     assert sum(got[k].restored == t for k, t in truth.items() if k in got) >= 0.85 * len(truth)
     assert encoding.repair(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_mixed_words_and_texts_without_spaces(spark):
+    """Clean and garbled characters in one word, a garbled word beside clean punctuation, and scripts without spaces."""
+    r, cjk = random.Random(8), "質量分析の結果を測定した試料は化合物であるピークと損失"
+    line = lambda: "".join(r.choice(cjk) for _ in range(30))
+    rows = [(k, t) for k, t in enumerate(corpus())] + [(1000 + k, line()) for k in range(200)]
+    garble = lambda s: s.encode().decode("cp1252", "ignore") if s.isascii() else next(p for p in encoding.pairs() if p.name == "utf-8>cp1252").garble(s)
+    cases = {
+        2000: "die Größe/" + garble("Größe") + " genügt", 2001: "über—" + garble("für") + " alle", 2002: "“Prüfung”," + garble("“genügt”") + " sagt er",
+        2003: line() + garble(line()) + line(), 2004: garble("é"), 2005: "x" * 50_000 + " " + garble("Prüfung"),
+    }
+    truth = {2000: "die Größe/Größe genügt", 2001: "über—für alle", 2002: "“Prüfung”,“genügt” sagt er", 2004: "é", 2005: "x" * 50_000 + " Prüfung"}
+    df = spark.createDataFrame(rows + list(cases.items()), "doc_id long, text string")
+    got = {x.doc_id: x for x in encoding.repair(df, "doc_id", "text").collect()}
+    assert set(cases) <= set(got) and not [i for i in got if i not in cases]
+    assert {i: got[i].restored for i in truth} == truth
+    kept = [c for c in got[2003].restored if c in cjk]
+    assert len(kept) >= 85
+
+
+def test_driver_gets_character_pairs_only():
+    """Characters that no wrong reading produces count as one."""
+    assert len(encoding.PRODUCED) < 800
+    assert encoding.shape("漢字9 12é") == encoding.OTHER * 2 + "0 00é"
