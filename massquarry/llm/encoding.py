@@ -59,28 +59,21 @@ class Pair:
         self.forth = None if self.back is None else {c: i for i, c in reversed(list(enumerate(self.back)))}
 
     def garble(self, s: str) -> str | None:
-        for _ in range(self.times):
-            if self.forth is None:
-                b = s.encode("utf-8", "surrogatepass")
-            else:
-                if any(c not in self.forth for c in s):
-                    return None
-                b = bytes(self.forth[c] for c in s)
-            s = "".join(self.chars[i] for i in b)
+        try:
+            for _ in range(self.times):
+                b = s.encode("utf-8", "surrogatepass") if self.forth is None else bytes(map(self.forth.__getitem__, s))
+                s = "".join(map(self.chars.__getitem__, b))
+        except KeyError:
+            return None
         return s
 
     def restore(self, s: str) -> str | None:
-        for _ in range(self.times):
-            if any(c not in self.bytes for c in s):
-                return None
-            b = bytes(self.bytes[c] for c in s)
-            if self.back is None:
-                try:
-                    s = b.decode("utf-8")
-                except UnicodeDecodeError:
-                    return None
-            else:
-                s = "".join(self.back[i] for i in b)
+        try:
+            for _ in range(self.times):
+                b = bytes(map(self.bytes.__getitem__, s))
+                s = b.decode("utf-8") if self.back is None else "".join(map(self.back.__getitem__, b))
+        except (KeyError, UnicodeDecodeError):
+            return None
         return s
 
 
@@ -289,14 +282,18 @@ def _bigram_rows(states: list[int], counts: list[Counter]) -> pa.RecordBatch:
 _BIGRAMS = "state int, x string, y string, n long"
 
 
-def _plain(batches):
-    """mapInArrow (word, n): character pairs of all words, as state 0."""
-    for b in batches:
-        c: Counter = Counter()
-        for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
-            for p in _pairs_in(f" {shape(w)} "):
-                c[p] += n
-        yield _bigram_rows([0], [c])
+def _plain(view):
+    """mapInArrow (word, n): character pairs of all words as seen through `view`, as state 0."""
+
+    def run(batches):
+        for b in batches:
+            c: Counter = Counter()
+            for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                for p in _pairs_in(f" {view(w)} "):
+                    c[p] += n
+            yield _bigram_rows([0], [c])
+
+    return run
 
 
 def _readings(seen: dict[tuple[str, str], int]):
@@ -305,27 +302,54 @@ def _readings(seen: dict[tuple[str, str], int]):
 
     def run(batches):
         every = pairs()
+        domains = [frozenset(p.bytes) for p in every]
+        utf8 = [k for k, p in enumerate(every) if p.back is None]
+        others = [k for k, p in enumerate(every) if p.back is not None]
         characters = {y for _, y in seen}
-        odd = lambda r: r.isascii() or any("\x80" <= c <= "\x9f" for c in r)
+        known: dict[str, list[str | None]] = {}
+        odd = lambda r: any("\x80" <= c <= "\x9f" for c in r)
+
+        def restored(run: str) -> list[str | None]:
+            got = known.get(run)
+            if got is None:
+                if len(known) > 100_000:
+                    known.clear()
+                chars = frozenset(run)
+                got = known[run] = [p.restore(run) if chars <= d else None for p, d in zip(every, domains, strict=True)]
+            return got
+
+        few: dict[str, set] = {}
+
+        def alike(run: str, back: list[str | None]) -> set:
+            if run not in few:
+                if len(few) > 100_000:
+                    few.clear()
+                few[run] = {(back[k],) for k in others}
+            return few[run]
+
+        def not_clean(back: list[list[str | None]]) -> bool:
+            for k in utf8:
+                now = [b[k] for b in back]
+                fine = [r is not None and not odd(r) for r in now]
+                # a part of a word may be garbled: UTF-8 of characters that the corpus holds elsewhere
+                if all(fine) or any(ok and characters.issuperset(shape(r)) for ok, r in zip(fine, now, strict=True)):
+                    return True
+            return False
+
         for b in batches:
             words, ns, readings = [], [], []
             for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 found: set[str | None] = set()
-                if LOST in w or any("\x80" <= c <= "\x9f" for c in w):
+                runs = _RUN.findall(w)
+                back = [restored(x) for x in runs]
+                if LOST in w or odd(w) or not_clean(back):
                     found = {None}
                 else:
-                    runs = _RUN.findall(w)
-                    for p in every:
-                        # a part of a word may be garbled: UTF-8 of characters that the corpus holds elsewhere
-                        if p.back is None and any(r and r != x and not odd(r) and set(shape(r)) <= characters for x in runs for r in (p.restore(x),)):
-                            found = {None}
-                            break
-                        r = p.restore(w)
-                        if r is None or r == w:
+                    between = _RUN.split(w)
+                    for now in alike(runs[0], back[0]) if len(runs) == 1 else {tuple(x[k] for x in back) for k in others}:
+                        if None in now or now == tuple(runs) or not characters.issuperset(shape("".join(now))):
                             continue
-                        if p.back is None and not odd(r):
-                            found = {None}
-                            break
+                        r = "".join(x for y in zip(between, [*now, ""], strict=True) for x in y)
                         if all(seen.get(x, 0) > 4 * n for x in _pairs_in(f" {shape(r)} ")):
                             found.add(r)
                 for r in found:
@@ -338,30 +362,45 @@ def _readings(seen: dict[tuple[str, str], int]):
 
 
 def _images(batches):
-    """mapInArrow (word, n) of clean words: character pairs of each state."""
+    """mapInArrow (state, x, y, n), the character pairs of clean words: those of each state. Each character is garbled by
+    itself, so a pair's image is the last character of x's image before the first of y's, and what lies within y's."""
     every = pairs()
+    known: list[dict[str, str | None]] = [{} for _ in every]
+
+    def image(k: int, c: str) -> str | None:
+        if c not in known[k]:
+            g = every[k].garble(c)
+            known[k][c] = None if g is None else shape(g)
+        return known[k][c]
+
     for b in batches:
         counts = [Counter() for _ in range(len(every) + 1)]
-        for w, n in zip(*(x.to_pylist() for x in b.columns), strict=True):
-            for s, g in enumerate([w, *(p.garble(w) for p in every)]):
-                if g is not None and (s == 0 or g != w):
-                    for p in _pairs_in(f" {shape(g)} "):
-                        counts[s][p] += n
+        for x, y, n in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
+            counts[0][shape(x), shape(y)] += n
+            for k in range(len(every)):
+                gx, gy = image(k, x), image(k, y)
+                if gx is None or gy is None or (gx, gy) == (shape(x), shape(y)):  # what a pair leaves as it is tells nothing
+                    continue
+                for p in _pairs_in(gx[-1] + gy):
+                    counts[k + 1][p] += n
         yield _bigram_rows(list(range(len(counts))), counts)
 
 
 def train(df: DataFrame, text: str) -> Model:
     """A model of the words of all texts."""
     words = stage(df.select(F.col(text)).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # a row is little to read and much to work on, so the words go to all cores whatever their size
+    words = words.repartition(df.sparkSession.sparkContext.defaultParallelism, "word")
     add = lambda t: t.groupBy("state", "x", "y").agg(F.sum("n").alias("n"))
     # fewer than a million pairs: some 600 characters that a wrong reading can produce, one for the others, and ASCII
-    seen = {(r.x, r.y): r.n for r in add(words.mapInArrow(_plain, _BIGRAMS)).collect()}
+    seen = {(r.x, r.y): r.n for r in add(words.mapInArrow(_plain(shape), _BIGRAMS)).collect()}
     other = words.mapInArrow(_readings(seen), "word string, n long, reading string")
-    own = words.select(F.col("word").alias("w__"), F.col("n").alias("n__"))
-    odd = other.join(own, F.col("reading") == F.col("w__"), "left").where(F.col("reading").isNull() | (F.col("n__") > 4 * F.col("n"))).select(F.col("word").alias("odd__")).distinct()
+    known = words.select(F.col("word").alias("w__"), F.col("n").alias("n__"))
+    odd = other.join(known, F.col("reading") == F.col("w__"), "left").where(F.col("reading").isNull() | (F.col("n__") > 4 * F.col("n"))).select(F.col("word").alias("odd__")).distinct()
     clean = words.join(odd, F.col("word") == F.col("odd__"), "left_anti")
+    own = add(clean.mapInArrow(_plain(str), _BIGRAMS))
     # 256 characters of a reading and ASCII before and after them bound each state
-    rows = add(clean.mapInArrow(_images, _BIGRAMS)).collect()
+    rows = add(own.mapInArrow(_images, _BIGRAMS)).collect()
     return Model({(r.state, r.x, r.y): r.n for r in rows})
 
 
