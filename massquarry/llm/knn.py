@@ -515,7 +515,8 @@ def nearest(df: DataFrame, id_col: str, mz: str, intensity: str, k: int = 5, lea
     groups = stage(groups, "groups")
     # equal vectors have equal keys, so the keys may come from all rows; only one of equal vectors is searched
     single = groups.select(F.col("u").alias("r__"))
-    base = vectors.join(groups.select("u", F.col("digest").alias("d__")), (F.col("id") == F.col("u")) & (F.col("digest") == F.col("d__"))).groupBy("id").agg(F.first("vector").alias("vector"))
+    # one exchange of the vectors, by id, serves this join, the grouping and the join with the shards
+    base = vectors.join(groups.select("u"), F.col("id") == F.col("u"), "left_semi").groupBy("id").agg(F.min_by("vector", "digest").alias("vector"))
     shards = _by_prefix(base, least) if exact else _by_links(vectors, strongest_bins, heavy)
     shards = shards.join(single, F.col("id") == F.col("r__"), "left_semi")
     found = _search(shards, base, k, least, factor, block).distinct()
