@@ -9,8 +9,8 @@ from massquarry.operators import packed, units
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Values with a known unit other than eV, converted."""
-    v = units.to_common_unit(spark.read.parquet(f"{d}/train.parquet"), spark.read.parquet(f"{d}/nce_charge_factor.parquet"))
-    v = v.where(F.col("unit_source").isin("text", "column") & (F.col("unit") != "eV") & F.col("ev").isNotNull())
+    v = units.known_units(spark.read.parquet(f"{d}/train.parquet"), spark.read.parquet(f"{d}/nce_charge_factor.parquet"))
+    v = v.where((F.col("unit") != "eV") & F.col("ev").isNotNull())
     return v.select("row_offset", F.col("step_no").cast("int").alias("step_no"), F.floor(F.col("ev") * 100 + 0.5).cast("long").alias("ev_x100"))
 
 
@@ -19,6 +19,11 @@ def p4_assigned(spark: SparkSession, d: str) -> DataFrame:
     return units.to_common_unit(spark.read.parquet(f"{d}/train.parquet"), spark.read.parquet(f"{d}/nce_charge_factor.parquet"))
 
 
+def p4_held_out(spark: SparkSession, d: str) -> DataFrame:
+    """What the model says of known units that are hidden from it."""
+    return units.held_out_accuracy(spark.read.parquet(f"{d}/train.parquet"), spark.read.parquet(f"{d}/nce_charge_factor.parquet"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Each value of the fields that hold at least two."""
     t = spark.read.parquet(f"{d}/train.parquet").select("row_offset", "ingest_lib", "collision_energy_orig")
@@ -33,7 +38,7 @@ def p6_delimiters(spark: SparkSession, d: str) -> DataFrame:
     return packed.infer_delimiters(t.dropDuplicates(["row_offset"]), "collision_energy_orig", "ingest_lib")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_assigned, p6_found, p6_delimiters)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_assigned, p4_held_out, p6_found, p6_delimiters)}
 
 # Decimal commas first (twice, as neighbours share a mark), then all numbers of the field.
 _VALUES = r"""
