@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from massquarry.functions.kernels import twin_kernel
+from massquarry.functions.kernels import mirror_kernel
 
 MOST = 5
 METRICS = ("cosine", "modified_cosine", "peak_overlap", "loss_cosine")
@@ -81,18 +81,14 @@ def pair_features(scored: DataFrame, pool: DataFrame, pair: list[str], metrics:
 
 
 def identity_tier(pairs: DataFrame) -> DataFrame:
-    """pairs with tier. T1: equal canonical hash; T2: near-equal peak for peak (precursors within 0.01, at least 0.95 of
-    both sides matched, correlation of root intensities at least 0.99); T3: near duplicate (precursors less than 0.01
-    apart, cosine above 0.95); T4: any other of the same adduct and mode; T5: the rest. pairs holds q_ and r_ hash,
-    precursor, adduct, mode and peaks, and cosine. The matching runs only where the cheaper tests leave it open."""
+    """pairs with tier. T1: equal canonical hash; T2: one measurement written differently (precursors within 0.005 and
+    kernels.mirrors); T3: near duplicate (precursors less than 0.01 apart, cosine above 0.95); T4: any other. pairs holds
+    q_ and r_ hash, precursor and peaks, and cosine. The matching runs only where the cheaper tests leave it open."""
     gap = F.abs(F.col("q_precursor") - F.col("r_precursor"))
     same = F.coalesce(F.col("q_hash") == F.col("r_hash"), F.lit(False))
-    close = F.coalesce(gap <= 0.01, F.lit(False)) & ~same
+    close = F.coalesce(gap <= 0.005, F.lit(False)) & ~same
     # the kernel sees empty peaks where its result cannot matter
     none = F.array().cast("array<struct<mz:double,intensity:double>>")
-    t = twin_kernel(F.when(close, F.col("q_peaks")).otherwise(none), F.when(close, F.col("r_peaks")).otherwise(none))
-    out = pairs.withColumn("t__", t)
-    mirror = close & (F.col("t__.share_a") >= 0.95) & (F.col("t__.share_b") >= 0.95) & (F.col("t__.correlation") >= 0.99)
+    out = pairs.withColumn("m__", mirror_kernel(F.when(close, F.col("q_peaks")).otherwise(none), F.when(close, F.col("r_peaks")).otherwise(none)))
     near = F.coalesce((gap < 0.01) & (F.col("cosine") > 0.95), F.lit(False))
-    alike = F.coalesce((F.col("q_adduct") == F.col("r_adduct")) & (F.col("q_mode") == F.col("r_mode")), F.lit(False))
-    return out.withColumn("tier", F.when(same, "T1").when(mirror, "T2").when(near, "T3").when(alike, "T4").otherwise("T5")).drop("t__")
+    return out.withColumn("tier", F.when(same, "T1").when(close & F.col("m__"), "T2").when(near, "T3").otherwise("T4")).drop("m__")

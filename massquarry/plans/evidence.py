@@ -8,10 +8,10 @@ from massquarry.functions import structures
 from massquarry.functions.kernels import pair_kernel
 from massquarry.operators import molecules, references, spectra
 from massquarry.plans import domain as D
+from massquarry.workspace import stage
 
 R = lambda c, n=6: F.round(c, n).alias(c)
 PAIR = ["query_id", "candidate"]
-BEST = 5  # candidates per query in the SQL of q18, q21, q22 and q23
 
 
 def q13_spectrum_flags(spark: SparkSession, d: str) -> DataFrame:
@@ -45,54 +45,71 @@ def q17_similar_test_pairs(spark: SparkSession, d: str) -> DataFrame:
     return s.where("a < b").select("a", "b", R("cosine"))
 
 
-def _references(spark: SparkSession, d: str) -> DataFrame:
-    """Usable train spectra as references of their structure."""
+def _references(spark: SparkSession, d: str, named: bool = True) -> DataFrame:
+    """Train spectra as references of their structure; with named=False also those that name none."""
     t = D.table(spark, d, "train").dropDuplicates(["row_offset"])
     e = spectra.energies(F.col("collision_energy_ev"))
     return t.select(
         F.col("row_offset").alias("r_id"), structures.inchikey14(F.col("inchikey14")).alias("candidate"), F.col("adduct").alias("r_adduct"), F.col("ionization_mode").alias("r_mode"), structures.instrument(F.col("instrument_type")).alias("r_instrument"),
         F.col("ingest_lib").alias("r_source"), F.round(e["ce_mean"], 3).alias("r_ce"), F.when(e["ce_n"] > 0, "eV").alias("r_ce_unit"), F.col("precursor_mz").alias("r_precursor"), F.col("ms2_mzs").alias("r_mz"), F.col("ms2_normalized_intensities").alias("r_i"),
-    ).where(F.col("candidate").isNotNull())
+    ).where(F.col("candidate").isNotNull() if named else F.lit(True))
 
 
-def _pairs(spark: SparkSession, d: str, best: int | None = None) -> DataFrame:
-    """The pool's candidates per query, all or the best, with all references of the candidate, without peaks."""
-    from massquarry.operators import ranking
-
-    p = D.pool(spark, d)
-    if best is not None:
-        p = ranking.rank_by_keys(p, [("score", False), ("candidate", True)]).where(F.col("rank") <= best)
-    p = p.select("query_id", "candidate")
+def _pairs(spark: SparkSession, d: str, tiers: bool = True) -> DataFrame:
+    """The whole pool's candidates per query with all references of the candidate, without peaks, and their tiers. Beyond
+    a precursor difference of 0.01 the tier is T4, so peaks join only for pairs within it."""
+    p = D.pool(spark, d).select("query_id", "candidate")
     q = D.table(spark, d, "test").dropDuplicates(["spectrum_id"])
     e = spectra.energies(F.col("collision_energy_ev"))
-    q = q.select(F.col("spectrum_id").alias("query_id"), F.col("adduct").alias("q_adduct"), F.col("ionization_mode").alias("q_mode"), structures.instrument(F.col("instrument_type")).alias("q_instrument"), F.col("eval_set").alias("q_source"), F.round(e["ce_mean"], 3).alias("q_ce"), F.when(e["ce_n"] > 0, "eV").alias("q_ce_unit"))
-    r = _references(spark, d).drop("r_mz", "r_i", "r_precursor")
-    tier = F.concat(F.lit("T"), (F.pmod(F.col("r_id"), F.lit(5)) + 1).cast("string"))
-    return p.join(q, "query_id").join(r, "candidate").withColumn("tier", tier)
+    q = q.select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("q_precursor"), F.col("adduct").alias("q_adduct"), F.col("ionization_mode").alias("q_mode"), structures.instrument(F.col("instrument_type")).alias("q_instrument"), F.col("eval_set").alias("q_source"), F.round(e["ce_mean"], 3).alias("q_ce"), F.when(e["ce_n"] > 0, "eV").alias("q_ce_unit"))
+    r = _references(spark, d).drop("r_mz", "r_i")
+    pairs = p.join(q, "query_id").join(r, "candidate")
+    if not tiers:
+        return pairs.withColumn("tier", F.lit(None).cast("string"))
+    near = pairs.where(F.abs(F.col("q_precursor") - F.col("r_precursor")) <= 0.0101).select("query_id", "r_id").distinct()
+    return pairs.join(_tiers(spark, d, near), ["query_id", "r_id"], "left").withColumn("tier", F.coalesce("tier", F.lit("T4")))
+
+
+def _tiers(spark: SparkSession, d: str, near: DataFrame) -> DataFrame:
+    """query_id, r_id, tier of the given pairs, over whole cleaned spectra."""
+    near = stage(near, "near")
+    hashed = lambda t, x: t.withColumn(f"{x}_hash", spectra.peak_hash(F.col(f"{x}_peaks"), F.col(f"{x}_precursor")))
+    q = D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("q_precursor"), F.col("peaks").alias("q_peaks"))
+    q = hashed(q.join(near.select("query_id").distinct(), "query_id", "left_semi"), "q")
+    r = _references(spark, d, named=False).select("r_id", "r_precursor", spectra.peaks(F.col("r_mz"), F.col("r_i")).alias("r_peaks"))
+    r = hashed(r.join(near.select("r_id").distinct(), "r_id", "left_semi"), "r")
+    qb, rb = spectra.binned(q, ["query_id"], F.col("q_peaks")), spectra.binned(r, ["r_id"], F.col("r_peaks"))
+    rows = spectra.cosine_of_pairs(near, qb, rb, "query_id", "r_id").join(q, "query_id").join(r, "r_id")
+    return references.identity_tier(rows).select("query_id", "r_id", "tier")
 
 
 def q21_compat_order_top5(spark: SparkSession, d: str) -> DataFrame:
-    return references.first_eligible(_pairs(spark, d, BEST), PAIR, "mirror_aware").select(*PAIR, "r_id", "compat_rank")
+    return references.first_eligible(_pairs(spark, d), PAIR, "mirror_aware").select(*PAIR, "r_id", "compat_rank")
+
+
+def q21b_standard_order_top5(spark: SparkSession, d: str) -> DataFrame:
+    return references.first_eligible(_pairs(spark, d, tiers=False), PAIR, "standard").select(*PAIR, "r_id", "compat_rank")
 
 
 def q22_protocol_counts(spark: SparkSession, d: str) -> DataFrame:
     rules = references.protocols()
-    return _pairs(spark, d, BEST).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_refs"), *(F.count_if(c).alias(f"n_{k}") for k, c in rules.items()))
+    return _pairs(spark, d).groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_refs"), *(F.count_if(c).alias(f"n_{k}") for k, c in rules.items()))
 
 
 def q23_walk_depth(spark: SparkSession, d: str) -> DataFrame:
-    return references.walk_summary(references.walk(_pairs(spark, d, BEST), PAIR), PAIR)
+    return references.walk_summary(references.walk(_pairs(spark, d), PAIR), PAIR)
 
 
 def _scored_pairs(spark: SparkSession, d: str) -> DataFrame:
     """The first five references of each pair of the whole pool with all four similarities; peaks join after the cut."""
-    sel = references.first_eligible(_pairs(spark, d), PAIR, "standard").select(*PAIR, "r_id", "compat_rank")
-    r = _references(spark, d).select("r_id", F.col("r_precursor"), spectra.top_peaks(spectra.peaks(F.col("r_mz"), F.col("r_i")), 100).alias("r_peaks"))
-    q = D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("q_precursor"), spectra.top_peaks(F.col("peaks"), 100).alias("q_peaks"))
-    rows = sel.join(r, "r_id").join(q, "query_id").where(F.col("r_peaks").isNotNull() & F.col("q_peaks").isNotNull())
+    sel = stage(references.first_eligible(_pairs(spark, d, tiers=False), PAIR, "standard").select(*PAIR, "r_id", "compat_rank"), "selected")
+    r = _references(spark, d).join(sel.select("r_id").distinct(), "r_id", "left_semi").select("r_id", "r_precursor", spectra.peaks(F.col("r_mz"), F.col("r_i")).alias("r_all"))
+    q = D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("q_precursor"), F.col("peaks").alias("q_all"))
+    q = q.join(sel.select("query_id").distinct(), "query_id", "left_semi")
+    top = lambda t, x: t.select(*(c for c in t.columns if not c.endswith("_all")), spectra.top_peaks(F.col(f"{x}_all"), 100).alias(f"{x}_peaks"))
+    rows = sel.join(top(r, "r"), "r_id").join(top(q, "q"), "query_id").where(F.col("r_peaks").isNotNull() & F.col("q_peaks").isNotNull())
     s = rows.withColumn("s", pair_kernel("q_peaks", "r_peaks", "q_precursor", "r_precursor")).select(*PAIR, "r_id", "compat_rank", "s.*")
-    qb = spectra.binned(D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), "peaks"), ["query_id"], F.col("peaks"))
-    rb = spectra.binned(_references(spark, d).select("r_id", spectra.peaks(F.col("r_mz"), F.col("r_i")).alias("peaks")), ["r_id"], F.col("peaks"))
+    qb, rb = spectra.binned(q, ["query_id"], F.col("q_all")), spectra.binned(r, ["r_id"], F.col("r_all"))
     return s.join(spectra.cosine_of_pairs(sel, qb, rb, "query_id", "r_id"), ["query_id", "r_id"])
 
 
@@ -102,7 +119,7 @@ def q19_pair_similarities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q18_reference_cosine(spark: SparkSession, d: str) -> DataFrame:
-    sel = references.first_eligible(_pairs(spark, d, BEST), PAIR, "standard").select("query_id", "r_id")
+    sel = references.first_eligible(_pairs(spark, d, tiers=False), PAIR, "standard").select("query_id", "r_id")
     qb = spectra.binned(D.test_spectra(spark, d).select(F.col("spectrum_id").alias("query_id"), "peaks"), ["query_id"], F.col("peaks"))
     rb = spectra.binned(_references(spark, d).select("r_id", spectra.peaks(F.col("r_mz"), F.col("r_i")).alias("peaks")), ["r_id"], F.col("peaks"))
     return spectra.cosine_of_pairs(sel, qb, rb, "query_id", "r_id").select("query_id", "r_id", R("cosine"))
@@ -115,17 +132,14 @@ def q24_pair_features_top3(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q20_identity_tiers(spark: SparkSession, d: str) -> DataFrame:
-    """Test spectra and train spectra with precursors within 0.01 and a cosine from 0.6, by identity tier."""
-    q = D.test_spectra(spark, d).where(F.col("precursor_mz") > 0).select(F.col("spectrum_id").alias("q"), F.col("ionization_mode").alias("q_mode"), F.col("adduct").alias("q_adduct"), F.col("precursor_mz").alias("q_precursor"), F.col("peaks").alias("q_peaks"))
-    r = D.table(spark, d, "train").where(F.col("precursor_mz") > 0).dropDuplicates(["row_offset"])
-    r = r.select(F.col("row_offset").alias("r"), F.col("ionization_mode").alias("r_mode"), F.col("adduct").alias("r_adduct"), F.col("precursor_mz").alias("r_precursor"), spectra.peaks(F.col("ms2_mzs"), F.col("ms2_normalized_intensities")).alias("r_peaks"))
-    a = spectra.binned(q.withColumnRenamed("q_precursor", "pm"), ["q", "pm"], F.col("q_peaks"))
-    b = spectra.binned(r.withColumnRenamed("r_precursor", "pm"), ["r", "pm"], F.col("r_peaks"))
-    s = spectra.similar_pairs(a, b, "q", "r", 0.6, (), "pm", 0.01)
-    h = lambda x: spectra.peak_hash(F.col(f"{x}_peaks"), F.col(f"{x}_precursor")).alias(f"{x}_hash")
-    rows = s.join(q.select("*", h("q")), "q").join(r.select("*", h("r")), "r")
-    t = references.identity_tier(rows)
-    return t.select(F.col("q").alias("spectrum_id"), F.col("r").alias("row_offset"), R("cosine"), "tier")
+    """Test and train spectra with precursors less than 0.01 apart, by identity tier, T1 to T3. Equal hashes have equal
+    precursors to three decimals, so no pair of these tiers lies outside."""
+    mass = lambda t, i: D.table(spark, d, t).select(F.col(i), "precursor_mz").where(F.col("precursor_mz") > 0).dropDuplicates([i])
+    slot = lambda x: F.floor(x / 0.0101)
+    q = mass("test", "spectrum_id").select(F.col("spectrum_id").alias("query_id"), F.col("precursor_mz").alias("qp")).withColumn("slot", F.explode(F.sequence(slot(F.col("qp")) - 1, slot(F.col("qp")) + 1)))
+    r = mass("train", "row_offset").select(F.col("row_offset").alias("r_id"), F.col("precursor_mz").alias("rp"), slot(F.col("precursor_mz")).alias("slot"))
+    near = q.join(r, "slot").where(F.abs(F.col("qp") - F.col("rp")) <= 0.0101).select("query_id", "r_id")
+    return _tiers(spark, d, near).where("tier <> 'T4'").select(F.col("query_id").alias("spectrum_id"), F.col("r_id").alias("row_offset"), "tier")
 
 
 def _aggregator(name: str):
@@ -171,14 +185,12 @@ _TS = """ts AS (SELECT DISTINCT spectrum_id, ms2_mzs AS mz, ms2_normalized_inten
 _BINS = f"""{_TS}, b0 AS (SELECT spectrum_id, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM pk GROUP BY 1, 2), b AS (SELECT spectrum_id, bin, v / sqrt(sum(v * v) OVER (PARTITION BY spectrum_id)) AS value FROM b0 QUALIFY sum(v * v) OVER (PARTITION BY spectrum_id) > 0)"""
 _CE = "CASE WHEN len(list_filter(collision_energy_ev, lambda x: x IS NOT NULL AND NOT isnan(x))) > 0 THEN round(list_sum(list_filter(collision_energy_ev, lambda x: x IS NOT NULL AND NOT isnan(x))) / len(list_filter(collision_energy_ev, lambda x: x IS NOT NULL AND NOT isnan(x))), 3) END"
 _INST = "upper(regexp_replace(instrument_type, '[^A-Za-z0-9]', '', 'g'))"
-_PAIRS = f"""{D.POOL}, p5 AS (SELECT * FROM (SELECT query_id, candidate, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, candidate) AS r FROM pool) WHERE r <= 5),
+_PAIRS = f"""{D.POOL}, p5 AS (SELECT query_id, candidate FROM pool),
  tq AS (SELECT DISTINCT spectrum_id AS query_id, adduct AS qa, ionization_mode AS qm, {_INST} AS qi, eval_set AS qs, {_CE} AS qc FROM test),
  rf AS (SELECT DISTINCT row_offset AS r_id, {D.IK} AS candidate, adduct AS ra, ionization_mode AS rm, {_INST} AS ri, ingest_lib AS rs, {_CE} AS rc FROM train),
- pr AS (SELECT p5.query_id, p5.candidate, r_id, 'T' || (r_id % 5 + 1) AS tier, qs IS DISTINCT FROM rs AS other, (CASE WHEN qa = ra THEN 0 ELSE 1 END) AS k1, (CASE WHEN qm = rm THEN 0 ELSE 1 END) AS k2, (CASE WHEN qc IS NOT NULL AND rc IS NOT NULL THEN 0 ELSE 1 END) AS k3,
+ pr AS (SELECT p5.query_id, p5.candidate, r_id, (CASE WHEN qa = ra THEN 0 ELSE 1 END) AS k1, (CASE WHEN qm = rm THEN 0 ELSE 1 END) AS k2, (CASE WHEN qc IS NOT NULL AND rc IS NOT NULL THEN 0 ELSE 1 END) AS k3,
    coalesce(abs(qc - rc), 'inf'::DOUBLE) AS k4, (CASE WHEN qi = ri THEN 0 ELSE 1 END) AS k5 FROM p5 JOIN tq USING (query_id) JOIN rf USING (candidate))"""
-_RULES = {"standard": "true", "cross_library": "other", "mirror_aware": "other AND tier NOT IN ('T1', 'T2')", "near_dup_strict": "other AND tier NOT IN ('T1', 'T2', 'T3')", "test_simulated_strict": "tier NOT IN ('T1', 'T2')", "test_simulated_relaxed": "tier <> 'T1'"}
 _W = "PARTITION BY query_id, candidate ORDER BY k1, k2, k3, k4, k5, r_id"
-_WALK = list(_RULES)[:4]
 
 ORACLE = {
     "q15_topn_peaks": f"WITH {_TS}, t AS (SELECT spectrum_id, m, i, row_number() OVER (PARTITION BY spectrum_id ORDER BY i DESC, m) AS r FROM pk) SELECT spectrum_id, (row_number() OVER (PARTITION BY spectrum_id ORDER BY m, i) - 1)::INT AS pos, m AS mz, i AS intensity FROM t WHERE r <= 10",
@@ -193,11 +205,7 @@ ORACLE = {
   CASE WHEN p IS NULL THEN 0 ELSE len(list_filter(m, lambda x: x > p)) END::DOUBLE AS n_fragments_above_precursor, round(CASE WHEN p IS NULL THEN 0 ELSE len(list_filter(m, lambda x: x > p)) END / len(m), 6) AS fraction_fragments_above_precursor FROM a""",
     "q16_bin_l2": f"WITH {_BINS} SELECT spectrum_id, bin, round(value, 6) AS value FROM b",
     "q17_similar_test_pairs": f"WITH {_BINS} SELECT x.spectrum_id AS a, y.spectrum_id AS b, round(sum(x.value * y.value), 6) AS cosine FROM b x JOIN b y ON x.bin = y.bin AND x.spectrum_id < y.spectrum_id GROUP BY 1, 2 HAVING sum(x.value * y.value) >= 0.300001",
-    "q21_compat_order_top5": f"WITH {_PAIRS} SELECT * FROM (SELECT query_id, candidate, r_id, row_number() OVER ({_W}) AS compat_rank FROM pr WHERE {_RULES['mirror_aware']}) WHERE compat_rank <= 5",
-    "q22_protocol_counts": f"WITH {_PAIRS} SELECT query_id, candidate, count(*) AS n_refs, {', '.join(f'count(CASE WHEN {c} THEN 1 END) AS n_{k}' for k, c in _RULES.items())} FROM pr GROUP BY 1, 2",
-    "q23_walk_depth": f"""WITH {_PAIRS}, w AS (SELECT query_id, candidate, {', '.join(f'({_RULES[k]}) AS e_{k}, coalesce(sum(({_RULES[k]})::INT) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b_{k}' for k in _WALK)} FROM pr),
- x AS (SELECT *, NOT ({' AND '.join(f'b_{k} >= 5' for k in _WALK)}) AS walked FROM w)
- SELECT query_id, candidate, count(*)::INT AS n_refs, sum(walked::INT)::BIGINT AS walk_depth, sum(walked::INT) = count(*) AS exhausted, {', '.join(f'least(sum((walked AND e_{k})::INT), 5)::BIGINT AS count_{k}, sum((walked AND e_{k})::INT) < 5 OR (sum(walked::INT) = count(*) AND sum((walked AND e_{k})::INT) <= 5) AS exact_{k}' for k in _WALK)} FROM x GROUP BY 1, 2""",
+    "q21b_standard_order_top5": f"WITH {_PAIRS} SELECT * FROM (SELECT query_id, candidate, r_id, row_number() OVER ({_W}) AS compat_rank FROM pr) WHERE compat_rank <= 5",
     "q18_reference_cosine": f"""WITH {_BINS}, {_PAIRS}, sel AS (SELECT DISTINCT query_id, r_id FROM (SELECT *, row_number() OVER ({_W}) AS r FROM pr) WHERE r <= 5),
  rp AS (SELECT row_offset AS r_id, m, i FROM (SELECT row_offset, unnest(mz) AS m, unnest(it) AS i FROM (SELECT DISTINCT row_offset, ms2_mzs AS mz, ms2_normalized_intensities AS it FROM train) WHERE len(mz) = len(it)) WHERE m IS NOT NULL AND i IS NOT NULL AND isfinite(m) AND isfinite(i) AND m >= 0 AND i >= 0),
  r0 AS (SELECT r_id, floor(m / 0.1)::BIGINT AS bin, sum(i) AS v FROM rp GROUP BY 1, 2), rb AS (SELECT r_id, bin, v / sqrt(sum(v * v) OVER (PARTITION BY r_id)) AS value FROM r0 QUALIFY sum(v * v) OVER (PARTITION BY r_id) > 0),

@@ -64,18 +64,74 @@ def test_walk_against_a_loop(spark):
                 n[k] += walked and ok[k]
 
 
-def test_kernels():
-    a = [{"mz": m, "intensity": i} for m, i in ((100.0, 1.0), (150.0, 2.0), (200.0, 3.0))]
-    b = [{"mz": m, "intensity": i} for m, i in ((100.01, 1.0), (160.0, 2.0), (210.0, 3.0))]
-    over, modified, loss, nl, n = kernels.pair_scores(a, b, 300.0, 290.0)
-    assert over == pytest.approx(1 / 3) and n == 1
-    over, modified, loss, nl, n = kernels.pair_scores(a, b, 300.0, 310.0)
-    assert n == 3 and modified == pytest.approx((1 + 4 + 9) / 14) and loss == pytest.approx(2 / 3)
-    assert kernels.pair_scores([], b, 1.0, 1.0) == (0.0, 0.0, 0.0, 0.0, 0) and kernels.pair_scores(a, b, None, 1.0)[2] == 0.0
-    r = np.random.default_rng(0)
-    for _ in range(30):
-        x, y = np.sort(r.uniform(0, 5, 12)), np.sort(r.uniform(0, 5, 9))
-        assert kernels.overlap(x, y, 0.1) == kernels.overlap(y, x, 0.1)
+def flat(spectra):
+    return kernels.Peaks(np.repeat(np.arange(len(spectra)), [len(m) for m, _ in spectra]), np.concatenate([np.array(m, float) for m, _ in spectra]), np.concatenate([np.array(i, float) for _, i in spectra]), len(spectra))
+
+
+def by_definition(a, b, pa, pb, tol=0.02):
+    """The scores of one pair, peak by peak."""
+    def ordered(x, y):
+        x, y, n = sorted(x), sorted(y), 0
+        while x and y:
+            if abs(x[0] - y[0]) <= tol:
+                n, x, y = n + 1, x[1:], y[1:]
+            elif x[0] < y[0]:
+                x = x[1:]
+            else:
+                y = y[1:]
+        return n
+
+    def greedy():
+        all_ = sorted((-u * v, i, j) for i, (m, u) in enumerate(zip(*a, strict=True)) for j, (n, v) in enumerate(zip(*b, strict=True)) if abs(m - n) <= tol or abs(m - n - (pa - pb)) <= tol)
+        ua, ub, s, n = set(), set(), 0.0, 0
+        for x, i, j in all_:
+            if i not in ua and j not in ub:
+                ua.add(i)
+                ub.add(j)
+                s, n = s - x, n + 1
+        return s, n
+
+    def bins(m, v, p):
+        out = {}
+        for x, y in zip(m, v, strict=True):
+            if x < p:
+                out[math.floor((p - x) / 0.1)] = out.get(math.floor((p - x) / 0.1), 0) + y
+        return out
+
+    length = lambda v: math.sqrt(sum(x * x for x in v))
+    la, lb = bins(*a, pa), bins(*b, pb)
+    ln = length(la.values()) * length(lb.values())
+    xa, xb = [pa - m for m in a[0] if m < pa], [pb - m for m in b[0] if m < pb]
+    s, n = greedy() if a[0] and b[0] else (0.0, 0)
+    norm = length(a[1]) * length(b[1])
+    return (ordered(a[0], b[0]) / max(1, len(a[0])), s / norm if norm else 0.0, ordered(xa, xb) / max(1, len(xa)), sum(v * lb.get(k, 0) for k, v in la.items()) / ln if ln else 0.0, n if norm else 0)
+
+
+def test_kernels_against_the_definitions():
+    r, A, B, pa, pb = np.random.default_rng(0), [], [], [], []
+    for k in range(200):
+        n, m = int(r.integers(0, 14)), int(r.integers(0, 14))
+        A.append((np.sort(r.uniform(50, 51.5, n)).tolist(), r.choice([1.0, 2.0, 3.0, 0.5], n).tolist()))
+        B.append((np.sort(r.uniform(50, 51.5, m)).tolist(), r.uniform(0, 3, m).tolist()))
+        pa.append(float(r.choice([51.0, 60.0])))
+        pb.append(float(r.choice([50.7, 60.3])))
+    got = kernels.pair_scores(flat(A), flat(B), np.array(pa), np.array(pb))
+    for k in range(200):
+        want = by_definition(A[k], B[k], pa[k], pb[k])
+        assert [float(v[k]) for v in got.values()] == pytest.approx(list(want), abs=1e-9), k
+    one = kernels.pair_scores(flat([([100.0], [1.0])]), flat([([100.04], [1.0])]), np.array([300.09]), np.array([300.09]))
+    assert one["loss_cosine"][0] == pytest.approx(1.0) and one["peak_overlap"][0] == 0.0
+    lost = kernels.pair_scores(flat([([100.0], [1.0])]), flat([([100.0], [1.0])]), np.array([np.nan]), np.array([300.0]))
+    assert lost["loss_cosine"][0] == lost["loss_overlap"][0] == 0.0 and lost["modified_cosine"][0] == pytest.approx(1.0)
+
+
+def test_mirrors():
+    m, i = [100.0, 150.0, 200.0, 250.0], [1.0, 2.0, 3.0, 4.0]
+    cases = [
+        ((m, i), ([x + 0.001 for x in m], i), True), ((m, i), ([x + 0.01 for x in m], i), False), (([100.0], [1.0]), ([100.0], [1.0]), False),
+        ((m, [1.0] * 4), (m, [1.0] * 4), False), ((m, i), (m[:3], i[:3]), False), (([*m, 300.0], [*i, 0.03]), (m, i), True), ((m, i), (m, i[::-1]), False), (([], []), (m, i), False),
+    ]
+    assert kernels.mirrors(flat([c[0] for c in cases]), flat([c[1] for c in cases])).tolist() == [c[2] for c in cases]
 
 
 def test_peaks_edge_rows(spark):
