@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-POOL_EDGES = (0, 1, 5, 20, 100, 500)
+# Edges of the pool sizes.
+POOL_EDGES = (0, 50, 100, 200, 400, 800)
 
 
 def pool_bin(size: Column, edges: tuple[int, ...] = POOL_EDGES) -> Column:
@@ -80,39 +81,33 @@ def hard_negatives(df: DataFrame, query: str, key: str, mass: str, spectral: str
     return rows.withColumn("pick__", F.row_number().over(order)).where(F.col("pick__") <= most).withColumn("kind", F.element_at(F.array(F.lit("truth"), F.lit("hard"), F.lit("random")), p + 1)).drop("hard__", "pick__")
 
 
-def robust_parameters(df: DataFrame, groups: list[str], error: str, min_rows: int) -> DataFrame:
-    """Median and 1.4826 times the median absolute deviation per group."""
-    rows = df.where(F.col(error).isNotNull() & ~F.isnan(error))
-    m = rows.groupBy(*groups).agg(F.median(error).alias("mu"), F.count(F.lit(1)).alias("n"))
-    if not groups:
-        return rows.crossJoin(F.broadcast(m)).groupBy("mu", "n").agg((F.median(F.abs(F.col(error) - F.col("mu"))) * 1.4826).alias("sigma"))
-    j = rows.join(m, groups)
-    return j.groupBy(*groups, "mu", "n").agg((F.median(F.abs(F.col(error) - F.col("mu"))) * 1.4826).alias("sigma")).where((F.col("n") >= min_rows) & (F.col("sigma") > 0))
+def robust_parameters(df: DataFrame, groups: list[str], error: str, min_rows: int, min_scale: float) -> DataFrame:
+    """Median and 1.4826 times the median absolute deviation, at least min_scale, of groups with enough rows."""
+    m = df.groupBy(*groups).agg(F.median(error).alias("mu"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows)
+    j = df.join(m, groups) if groups else df.crossJoin(F.broadcast(m))  # one row
+    return j.groupBy(*groups, "mu").agg(F.greatest(F.median(F.abs(F.col(error) - F.col("mu"))) * 1.4826, F.lit(min_scale)).alias("sigma"))
 
 
-def mass_loglik(df: DataFrame, train: DataFrame, levels: list[list[str]], error: str, abs_error: str, min_rows: int = 30) -> DataFrame:
-    """mass_loglik of an absolute error under a folded normal whose parameters come from the first level (list of group
-    columns) that has enough rows, with those of all rows at last."""
-    out = df
+def mass_loglik(df: DataFrame, train: DataFrame, error: str, abs_error: str, instrument: str = "instrument", adduct: str = "adduct", tolerance: float = 50.0, outliers: float = 0.02, min_rows: int = 200, min_scale: float = 0.1) -> DataFrame:
+    """df with mass_loglik and mass_level: the log density of an absolute error under a folded normal with a uniform share
+    of outliers over the tolerance. Parameters come from instrument and adduct, then instrument, then adduct with enough
+    rows, then from all rows; fitting rows beyond the tolerance do not count. Unknown categories are a category."""
+    names = {"instrument_adduct": [instrument, adduct], "instrument": [instrument], "adduct": [adduct], "global": []}
+    known = lambda t: t.withColumns({f"{c}_k": F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in (instrument, adduct)})
+    fit = known(train.where(F.col(error).isNotNull() & ~F.isnan(error) & (F.abs(error) <= tolerance)))
+    out, level = known(df), F.lit(None).cast("string")
     mu, sigma = F.lit(None).cast("double"), F.lit(None).cast("double")
-    for i, g in enumerate([*levels, []]):
-        p = robust_parameters(train, g, error, min_rows).select(*(F.col(c).alias(f"{c}_{i}__") for c in g), F.col("mu").alias(f"mu{i}__"), F.col("sigma").alias(f"sigma{i}__"))
-        if g:
-            on = None
-            for c in g:
-                e = F.col(c) == F.col(f"{c}_{i}__")
-                on = e if on is None else on & e
-            out = out.join(p, on, "left")
-        else:
-            out = out.crossJoin(F.broadcast(p))  # one row
+    for i, (name, g) in enumerate(names.items()):
+        keys = [f"{c}_k" for c in g]
+        p = robust_parameters(fit, keys, error, min_rows if g else 0, min_scale).select(*keys, F.col("mu").alias(f"mu{i}__"), F.col("sigma").alias(f"sigma{i}__"))
+        out = out.join(p, keys, "left") if g else out.crossJoin(F.broadcast(p))  # one row
+        level = F.coalesce(level, F.when(F.col(f"mu{i}__").isNotNull(), name))
         mu, sigma = F.coalesce(mu, F.col(f"mu{i}__")), F.coalesce(sigma, F.col(f"sigma{i}__"))
+    bell = lambda z: F.exp(-0.5 * z * z)
     a = F.col(abs_error)
-    log1 = lambda z: -0.5 * z * z - F.log(sigma) - 0.9189385332046727
-    x, y = log1((a - mu) / sigma), log1((a + mu) / sigma)
-    top = F.greatest(x, y)
-    lik = top + F.log(F.exp(x - top) + F.exp(y - top))
-    out = out.withColumn("mass_loglik", lik)
-    return out.drop(*(c for c in out.columns if c.endswith("__")))
+    core = (bell((a - mu) / sigma) + bell((-a - mu) / sigma)) / (sigma * 2.5066282746310002)
+    out = out.withColumns({"mass_loglik": F.log((1 - outliers) * core + outliers / tolerance), "mass_level": level})
+    return out.drop(*(c for c in out.columns if c.endswith("__") or c.endswith("_k")))
 
 
 def matchability(stats: DataFrame, molecule: str, best: str) -> DataFrame:

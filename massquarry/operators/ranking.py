@@ -101,16 +101,21 @@ def failure_reason(error: Column, supported: Column, in_library: Column, toleran
 
 
 def calibration_table(df: DataFrame, prob: str, truth: str, bins: int = 10) -> DataFrame:
-    """Reliability per probability bin."""
+    """Reliability per probability bin; df holds one row per decision, such as each spectrum's best candidate."""
     b = F.least(F.floor(F.col(prob) * bins), F.lit(bins - 1)).cast("int")
-    t = F.col(truth).cast("double")
-    return df.where(F.col(prob).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_prob"), F.avg(t).alias("accuracy"), F.sum(F.pow(F.col(prob) - t, F.lit(2))).alias("squared_error"))
-
-
-def brier_ece(table: DataFrame) -> DataFrame:
-    """Brier score and expected calibration error from the reliability table."""
-    n = F.sum("n")
-    return table.agg(n.alias("n"), (F.sum("squared_error") / n).alias("brier"), (F.sum(F.abs(F.col("mean_prob") - F.col("accuracy")) * F.col("n")) / n).alias("ece"))
+    return df.where(F.col(prob).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.avg(prob).alias("mean_confidence"), F.avg(F.col(truth).cast("double")).alias("accuracy"))
+
+
+def calibration_report(df: DataFrame, prob: str, query: str, truth: str, key: str, bins: int = 10) -> DataFrame:
+    """One row: negative log-likelihood of the truths, Brier score summed over a query's candidates, and of the queries'
+    best candidates (ties: the smaller key) the Brier score and the expected calibration error."""
+    p, t = F.col(prob), F.coalesce(F.col(truth).cast("double"), F.lit(0.0))
+    best = F.min_by(F.struct(p.alias("p"), t.alias("t")), F.struct((-p).alias("a"), F.col(key).alias("b")))
+    per = df.where(p.isNotNull()).groupBy(query).agg(F.sum(F.pow(p - t, F.lit(2))).alias("brier"), best.alias("top"), F.sum(F.when(t > 0, -F.log(F.greatest(p, F.lit(1e-300))))).alias("nll"), F.count_if(t > 0).alias("truths"))
+    per = per.select("brier", "nll", "truths", "top.p", "top.t")
+    whole = per.agg(F.count(F.lit(1)).alias("n_spectra"), (F.sum("nll") / F.sum("truths")).alias("nll"), F.avg("brier").alias("brier"), F.avg(F.pow(F.col("p") - F.col("t"), F.lit(2))).alias("brier_top1"))
+    table = calibration_table(per, "p", "t", bins)
+    return whole.crossJoin(F.broadcast(table.agg((F.sum(F.col("n") * F.abs(F.col("accuracy") - F.col("mean_confidence"))) / F.sum("n")).alias("ece_top1"))))  # one row
 
 
 def fit_temperature(df: DataFrame, score: str, query: str, truth: str, low: float = -3.0, high: float = 3.0, steps: int = 3, points: int = 13) -> float:

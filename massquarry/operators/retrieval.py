@@ -23,7 +23,7 @@ def window_join(queries: DataFrame, library: DataFrame, query_mass: str, mass: s
     abs_mass_error_ppm. Exactly one of ppm, ppm_col (with max_ppm) and da; ppm is relative to the query's mass, or with
     relative="candidate" to the candidate's, as first-generation rankings have it.
 
-    Masses that are null, NaN or not positive, and null tolerances, match nothing."""
+    Masses that are null, NaN or not positive, and null tolerances, match nothing; a tolerance above max_ppm is an error."""
     if sum(x is not None for x in (ppm, ppm_col, da)) != 1 or (ppm_col is not None and max_ppm is None):
         raise ValueError("give one of ppm, ppm_col with max_ppm, and da")
     q, m = F.col(query_mass), F.col(mass)
@@ -40,7 +40,8 @@ def window_join(queries: DataFrame, library: DataFrame, query_mass: str, mass: s
         low, high = q - base * tol * 1e-6, q + base * tol * 1e-6
     left = queries.where(usable(q)).withColumn("b__", F.explode(F.sequence(bucket(q) - 1, bucket(q) + 1)))
     if ppm_col is not None:
-        left = left.where(F.col(ppm_col).isNotNull() & (F.col(ppm_col) <= max_ppm))
+        fits = F.when(F.col(ppm_col) <= max_ppm, F.lit(True)).otherwise(F.raise_error(F.lit(f"a tolerance is above max_ppm = {max_ppm}")).cast("boolean"))
+        left = left.where(F.col(ppm_col).isNotNull()).where(fits)
     right = library.where(usable(m)).withColumn("c__", bucket(m))
     out = left.join(right, F.col("b__") == F.col("c__")).where((m >= low) & (m <= high)).drop("b__", "c__")
     err = m - q
@@ -55,6 +56,15 @@ def nearest_variant(pool: DataFrame, query: str, key: str) -> DataFrame:
     return ranked.withColumn("n_supporting_variants", F.count(F.lit(1)).over(w)).where("r__ = 1").drop("r__")
 
 
+def _far_keys(library: DataFrame, key: str, mass: str, n: int) -> DataFrame:
+    """The n lightest and the n heaviest keys of every octave of masses: all that can be among the n nearest of a query
+    with fewer than n keys within half its mass. Doubles have some 2,000 octaves, so it has at most 4,200 n rows."""
+    m = F.col(mass)
+    octave = library.where(usable(m)).groupBy(F.floor(F.log2(m)).alias("o__"), key).agg(F.min(m).alias("low__"), F.max(m).alias("high__"))
+    ends = [octave.withColumn("r__", F.row_number().over(W.partitionBy("o__").orderBy(by, key))).where(F.col("r__") <= n).select(key, F.col(c).alias(mass)) for by, c in ((F.asc("low__"), "low__"), (F.desc("high__"), "high__"))]
+    return ends[0].unionByName(ends[1]).distinct()
+
+
 def fallback_search(queries: DataFrame, library: DataFrame, query: str, query_mass: str, key: str, mass: str, levels: list[float], nearest: int = 0, widest: float | None = None) -> DataFrame:
     """Window search that widens for the queries without a hit, and at last takes the `nearest` keys; one row per (query,
     key) with its level. The last window doubles for the queries still short of keys, until all have `nearest` or the
@@ -90,7 +100,7 @@ def fallback_search(queries: DataFrame, library: DataFrame, query: str, query_ma
         level *= 2
     if nearest:
         m, q = F.col(mass), F.col(query_mass)
-        rest = open_queries.crossJoin(library.where(usable(m))).withColumn("abs_mass_error_ppm", F.abs((m - q) / q * 1e6))
+        rest = open_queries.crossJoin(F.broadcast(_far_keys(library, key, mass, nearest))).withColumn("abs_mass_error_ppm", F.abs((m - q) / q * 1e6))
         hits = best(least(rest, float("inf")))
         out = hits if out is None else out.unionByName(hits)
     return out

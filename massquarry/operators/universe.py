@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # Elements of organic formulas.
-ORGANIC = ("C", "H", "N", "O", "P", "S", "F", "Cl", "Br", "I")
+ORGANIC = ("C", "H", "N", "O", "S", "P", "F", "Cl", "Br", "I", "Si", "B", "Se")
 
 
 def elements(formula: Column) -> Column:
@@ -18,18 +18,30 @@ def is_organic(formula: Column) -> Column:
 
 
 def element_class(formula: Column) -> Column:
-    """Which hetero-element classes a formula has, as a sorted label."""
+    """Those of C, H, N, O, S, P that a formula holds, with +X for halogens and +other for other elements; unknown
+    without any element."""
     e = elements(formula)
     has = lambda *xs: F.arrays_overlap(e, F.array(*(F.lit(x) for x in xs)))
-    return F.concat_ws("+", F.lit("CHO"), F.when(has("N"), "N"), F.when(has("P"), "P"), F.when(has("S"), "S"), F.when(has("F", "Cl", "Br", "I"), "X"))
+    core, halogens = ("C", "H", "N", "O", "S", "P"), ("F", "Cl", "Br", "I")
+    rest = F.size(F.array_except(e, F.array(*(F.lit(x) for x in (*core, *halogens))))) > 0
+    label = F.concat(*(F.when(has(x), x).otherwise("") for x in core), F.when(has(*halogens), "+X").otherwise(""), F.when(rest, "+other").otherwise(""))
+    return F.when(F.size(e) > 0, label).otherwise("unknown")
+
+
+def formal_charge(smiles: Column) -> Column:
+    """Sum of the charges written in a SMILES' bracket atoms; null for null."""
+    written = F.regexp_extract_all(smiles, F.lit(r"\[[^\]+-]*(\++\d*|-+\d*)(?::\d+)?\]"), 1)
+    size = lambda c: F.when(c.rlike(r"\d"), F.regexp_extract(c, r"(\d+)", 1).cast("int")).otherwise(F.length(c))
+    return F.aggregate(written, F.lit(0), lambda s, c: s + F.when(c.startswith("-"), -size(c)).otherwise(size(c)))
 
 
 def apply_filters(df: DataFrame, mass: str, formula: str, smiles: str, low: float, high: float, trusted: Column) -> DataFrame:
-    """df with reject_reasons (joined by semicolons, empty if kept) and kept; trusted rows are kept whatever their reasons."""
-    m = F.col(mass)
+    """df with reject_reasons (joined by semicolons, empty if kept) and kept; trusted rows are kept whatever their
+    reasons. What is unknown fails: a null mass, formula or structure."""
+    m, yes = F.col(mass), lambda c: F.coalesce(c, F.lit(False))
     reasons = F.concat_ws(
-        ";", F.when(~F.coalesce((m >= low) & (m <= high), F.lit(False)), "mass_range"), F.when(~F.coalesce(is_organic(F.col(formula)), F.lit(False)), "not_organic"),
-        F.when(F.col(smiles).contains("."), "multi_component"), F.when(F.col(smiles).rlike(r"[+-]\]|[+-]\d\]"), "charged"),
+        ";", F.when(~yes((m >= low) & (m <= high)), "mass_out_of_range"), F.when(~yes(is_organic(F.col(formula))), "not_organic"),
+        F.when(~yes(formal_charge(F.col(smiles)) == 0), "charged"), F.when(~yes(~F.col(smiles).contains(".")), "multi_component"),
     )
     return df.withColumn("reject_reasons", reasons).withColumn("kept", (F.col("reject_reasons") == "") | trusted)
 

@@ -206,12 +206,14 @@ ORACLE = {
     "q43_stratified_rollup": "SELECT ionization_mode, ingest_lib, grouping_id(ionization_mode, ingest_lib)::INT AS level, count(*) AS n, round(avg(num_peaks), 6) AS mean_peaks FROM (SELECT DISTINCT row_offset, ionization_mode, ingest_lib, num_peaks FROM train) GROUP BY ROLLUP (ionization_mode, ingest_lib)",
     "q45_consensus_mode": f"WITH c AS (SELECT k, adduct, count(*) AS n FROM (SELECT DISTINCT row_offset, {D.IK} AS k, adduct FROM train) WHERE k IS NOT NULL AND adduct IS NOT NULL GROUP BY 1, 2) SELECT k AS connectivity_key, adduct, round(n / t, 6) AS share FROM (SELECT *, sum(n) OVER (PARTITION BY k) AS t, row_number() OVER (PARTITION BY k ORDER BY n DESC, adduct) AS r FROM c) WHERE r = 1",
     "q46_provenance": f"SELECT k AS connectivity_key, coalesce(string_agg(DISTINCT ingest_lib, ';' ORDER BY ingest_lib), '') AS sources, count(DISTINCT concat_ws(':', ingest_lib, row_offset::VARCHAR))::INT AS n_ids, count(*) AS n_records FROM (SELECT DISTINCT row_offset, {D.IK} AS k, ingest_lib FROM train) WHERE k IS NOT NULL GROUP BY 1",
-    "q47_filters_with_reasons": """WITH e AS (SELECT *, list_distinct(regexp_extract_all(molecular_formula, '[A-Z][a-z]?')) AS el FROM molecule_metadata),
- r AS (SELECT connectivity_key, concat_ws(';', CASE WHEN NOT coalesce(exact_mass >= 350 AND exact_mass <= 500, false) THEN 'mass_range' END, CASE WHEN NOT coalesce(len(el) > 0 AND list_contains(el, 'C') AND len(list_filter(el, lambda x: NOT list_contains(['C', 'H', 'N', 'O', 'P', 'S', 'F', 'Cl', 'Br', 'I'], x))) = 0, false) THEN 'not_organic' END,
-  CASE WHEN contains(normalized_smiles, '.') THEN 'multi_component' END, CASE WHEN regexp_matches(normalized_smiles, '[+-]\\]|[+-][0-9]\\]') THEN 'charged' END) AS reject_reasons FROM e) SELECT *, reject_reasons = '' AS kept FROM r""",
+    "q47_filters_with_reasons": r"""WITH e AS (SELECT *, list_distinct(regexp_extract_all(molecular_formula, '[A-Z][a-z]?')) AS el, regexp_extract_all(normalized_smiles, '\[[^\]+-]*(\++[0-9]*|-+[0-9]*)(?::[0-9]+)?\]', 1) AS ch FROM molecule_metadata),
+ f AS (SELECT *, coalesce(list_sum(list_transform(ch, lambda c: CASE WHEN c[1] = '-' THEN -1 ELSE 1 END * CASE WHEN regexp_matches(c, '[0-9]') THEN regexp_extract(c, '[0-9]+')::INT ELSE len(c) END)), 0) AS z FROM e),
+ r AS (SELECT connectivity_key, concat_ws(';', CASE WHEN NOT coalesce(exact_mass >= 350 AND exact_mass <= 500, false) THEN 'mass_out_of_range' END, CASE WHEN NOT coalesce(len(el) > 0 AND list_contains(el, 'C') AND len(list_filter(el, lambda x: NOT list_contains(['C', 'H', 'N', 'O', 'S', 'P', 'F', 'Cl', 'Br', 'I', 'Si', 'B', 'Se'], x))) = 0, false) THEN 'not_organic' END,
+  CASE WHEN normalized_smiles IS NULL OR z <> 0 THEN 'charged' END, CASE WHEN normalized_smiles IS NULL OR contains(normalized_smiles, '.') THEN 'multi_component' END) AS reject_reasons FROM f) SELECT *, reject_reasons = '' AS kept FROM r""",
     "q48_formula_elements": """WITH e AS (SELECT list_distinct(regexp_extract_all(molecular_formula, '[A-Z][a-z]?')) AS el FROM molecule_metadata WHERE molecular_formula IS NOT NULL)
- SELECT concat_ws('+', 'CHO', CASE WHEN list_contains(el, 'N') THEN 'N' END, CASE WHEN list_contains(el, 'P') THEN 'P' END, CASE WHEN list_contains(el, 'S') THEN 'S' END, CASE WHEN list_has_any(el, ['F', 'Cl', 'Br', 'I']) THEN 'X' END) AS element_class,
-  len(el) > 0 AND list_contains(el, 'C') AND len(list_filter(el, lambda x: NOT list_contains(['C', 'H', 'N', 'O', 'P', 'S', 'F', 'Cl', 'Br', 'I'], x))) = 0 AS organic, count(*) AS n FROM e GROUP BY 1, 2""",
+ SELECT CASE WHEN len(el) = 0 THEN 'unknown' ELSE concat(CASE WHEN list_contains(el, 'C') THEN 'C' ELSE '' END, CASE WHEN list_contains(el, 'H') THEN 'H' ELSE '' END, CASE WHEN list_contains(el, 'N') THEN 'N' ELSE '' END, CASE WHEN list_contains(el, 'O') THEN 'O' ELSE '' END, CASE WHEN list_contains(el, 'S') THEN 'S' ELSE '' END, CASE WHEN list_contains(el, 'P') THEN 'P' ELSE '' END, CASE WHEN list_has_any(el, ['F', 'Cl', 'Br', 'I']) THEN '+X' ELSE '' END,
+  CASE WHEN len(list_filter(el, lambda x: NOT list_contains(['C', 'H', 'N', 'O', 'S', 'P', 'F', 'Cl', 'Br', 'I'], x))) > 0 THEN '+other' ELSE '' END) END AS element_class,
+  len(el) > 0 AND list_contains(el, 'C') AND len(list_filter(el, lambda x: NOT list_contains(['C', 'H', 'N', 'O', 'S', 'P', 'F', 'Cl', 'Br', 'I', 'Si', 'B', 'Se'], x))) = 0 AS organic, count(*) AS n FROM e GROUP BY 1, 2""",
     "q49_universe_ids": "WITH u AS (SELECT connectivity_key, bool_or(t) AS trusted FROM (SELECT connectivity_key, true AS t FROM molecule_metadata UNION ALL SELECT candidate_connectivity_key, false FROM candidate_pool) WHERE connectivity_key IS NOT NULL GROUP BY 1) SELECT *, row_number() OVER (ORDER BY connectivity_key) - 1 AS candidate_id FROM u",
     "q50_formula_index": "SELECT molecular_formula, count(*) AS n, min(connectivity_key) AS first_key FROM molecule_metadata WHERE molecular_formula IS NOT NULL GROUP BY 1",
     "q51_structure_pairs": f"""WITH m AS (SELECT connectivity_key AS k, min(s) AS s FROM (SELECT connectivity_key, {_SM} AS s FROM molecule_metadata) WHERE s IS NOT NULL GROUP BY 1), t AS (SELECT DISTINCT k, CASE WHEN length(s) >= 5 THEN substr(s, i, 5) ELSE s END AS g FROM m, range(1, 10000) r(i) WHERE i <= greatest(length(s) - 4, 1)), n AS (SELECT k, count(*) AS n FROM t GROUP BY 1),

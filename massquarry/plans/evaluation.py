@@ -37,8 +37,8 @@ def q44_mass_likelihood(spark: SparkSession, d: str) -> DataFrame:
     q = D.train_queries(spark, d).join(D.library(spark, d), F.col("true_key") == F.col("connectivity_key"))
     e = q.withColumn("error", F.round((F.col("exact_mass") - F.col("neutral_mass")) / F.col("neutral_mass") * 1e6, 4)).withColumn("abs_error", F.abs("error"))
     e = e.where(F.col("error").isNotNull())
-    s = evaluation.mass_loglik(e, e, [["instrument", "adduct"], ["adduct"]], "error", "abs_error", 40)
-    return s.groupBy("adduct").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("mass_loglik"), 5).alias("mean_loglik"))
+    s = evaluation.mass_loglik(e, e, "error", "abs_error", min_rows=40)
+    return s.groupBy("adduct", "mass_level").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("mass_loglik"), 5).alias("mean_loglik"))
 
 
 def q45b_consensus(spark: SparkSession, d: str) -> DataFrame:
@@ -97,7 +97,7 @@ def q73_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
 def q74_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """From raw test spectra to molecule rankings: mass, windows with fallback, mass likelihood as score, softmax, A7."""
     q = D.test_queries(spark, d).where(F.col("molecule_id").isNotNull())
-    hits = retrieval.fallback_search(q, D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [10.0, 50.0], nearest=5, widest=2000.0)  # as the SQL has it
+    hits = retrieval.fallback_search(q, D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [10.0, 50.0], nearest=5)
     s = hits.withColumn("score", F.round(-F.pow(F.col("abs_mass_error_ppm") / 10.0, F.lit(2)) / 2, 9))
     s = ranking.softmax(s.join(q.select("query_id", "molecule_id"), "query_id"), "score", "query_id", 1.1947045)
     s = s.withColumnsRenamed({"query_id": "spectrum_id", "connectivity_key": "candidate"})
@@ -118,11 +118,13 @@ QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q") and cal
 
 _BIN = lambda x: "CASE " + " ".join(f"WHEN {x} >= {e} THEN {i}" for i, e in reversed(list(enumerate(evaluation.POOL_EDGES)))) + " ELSE -1 END"
 _RANKED = f"{D.POOL}, rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, candidate) AS rank FROM pool)"
-_MED = """e AS (SELECT q.query_id, q.adduct, q.instrument, round((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6, 4) AS err FROM trainq q JOIN lib l ON l.connectivity_key = q.true_key WHERE q.neutral_mass IS NOT NULL),
- a1 AS (SELECT instrument, adduct, median(err) AS mu, count(*) AS n FROM e GROUP BY 1, 2), b1 AS (SELECT e.instrument, e.adduct, any_value(mu) AS mu, median(abs(err - mu)) * 1.4826 AS s FROM e JOIN a1 ON a1.instrument = e.instrument AND a1.adduct = e.adduct GROUP BY 1, 2 HAVING any_value(n) >= 40 AND median(abs(err - mu)) > 0),
- a2 AS (SELECT adduct, median(err) AS mu, count(*) AS n FROM e GROUP BY 1), b2 AS (SELECT e.adduct, any_value(mu) AS mu, median(abs(err - mu)) * 1.4826 AS s FROM e JOIN a2 ON a2.adduct = e.adduct GROUP BY 1 HAVING any_value(n) >= 40 AND median(abs(err - mu)) > 0),
- a3 AS (SELECT median(err) AS mu FROM e), b3 AS (SELECT any_value(mu) AS mu, median(abs(err - mu)) * 1.4826 AS s FROM e, a3),
- p AS (SELECT e.adduct, abs(err) AS a, coalesce(b1.mu, b2.mu, b3.mu) AS mu, coalesce(b1.s, b2.s, b3.s) AS s FROM e LEFT JOIN b1 ON b1.instrument = e.instrument AND b1.adduct = e.adduct LEFT JOIN b2 ON b2.adduct = e.adduct CROSS JOIN b3)"""
+_MED = """e AS (SELECT q.query_id, q.adduct, coalesce(q.adduct, 'None') AS ad, coalesce(q.instrument, 'None') AS ins, round((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6, 4) AS err FROM trainq q JOIN lib l ON l.connectivity_key = q.true_key WHERE q.neutral_mass IS NOT NULL),
+ f AS (SELECT * FROM e WHERE abs(err) <= 50), a1 AS (SELECT ins, ad, median(err) AS mu FROM f GROUP BY ALL HAVING count(*) >= 40), b1 AS (SELECT ins, ad, mu, greatest(median(abs(err - mu)) * 1.4826, 0.1) AS s FROM f JOIN a1 USING (ins, ad) GROUP BY ALL),
+ a2 AS (SELECT ins, median(err) AS mu FROM f GROUP BY ALL HAVING count(*) >= 40), b2 AS (SELECT ins, mu, greatest(median(abs(err - mu)) * 1.4826, 0.1) AS s FROM f JOIN a2 USING (ins) GROUP BY ALL),
+ a3 AS (SELECT ad, median(err) AS mu FROM f GROUP BY ALL HAVING count(*) >= 40), b3 AS (SELECT ad, mu, greatest(median(abs(err - mu)) * 1.4826, 0.1) AS s FROM f JOIN a3 USING (ad) GROUP BY ALL),
+ a4 AS (SELECT median(err) AS mu FROM f), b4 AS (SELECT mu, greatest(median(abs(err - mu)) * 1.4826, 0.1) AS s FROM f, a4 GROUP BY mu),
+ p AS (SELECT e.adduct, abs(err) AS a, coalesce(b1.mu, b2.mu, b3.mu, b4.mu) AS mu, coalesce(b1.s, b2.s, b3.s, b4.s) AS s, CASE WHEN b1.mu IS NOT NULL THEN 'instrument_adduct' WHEN b2.mu IS NOT NULL THEN 'instrument' WHEN b3.mu IS NOT NULL THEN 'adduct' ELSE 'global' END AS mass_level
+  FROM e LEFT JOIN b1 ON b1.ins = e.ins AND b1.ad = e.ad LEFT JOIN b2 ON b2.ins = e.ins LEFT JOIN b3 ON b3.ad = e.ad CROSS JOIN b4)"""
 
 ORACLE = {
     "q75_entropy_similarity": f"""WITH {evidence._BINS}, pr AS (SELECT x.spectrum_id AS a, y.spectrum_id AS b FROM b x JOIN b y ON x.bin = y.bin AND x.spectrum_id < y.spectrum_id GROUP BY 1, 2 HAVING sum(x.value * y.value) >= 0.300001),
@@ -132,7 +134,7 @@ ORACLE = {
  SELECT round(sum(m * n) / sum(CASE WHEN m IS NOT NULL THEN n END), 6) AS mean, round(sum(CASE WHEN m IS NOT NULL THEN n END) / sum(n), 6) AS covered FROM t LEFT JOIN m USING (b)""",
     "q43b_stratified_metrics": f"""{search._POOL}, x AS (SELECT m.rr, q.ionization_mode, q.ingest_lib, q.instrument FROM metrics m JOIN trainq q USING (query_id)) SELECT ionization_mode, 'ALL' AS stratum, NULL::VARCHAR AS level, count(*) AS n, round(avg(rr), 6) AS mean FROM x GROUP BY 1
  UNION ALL SELECT ionization_mode, 'ingest_lib', ingest_lib, count(*), round(avg(rr), 6) FROM x GROUP BY 1, 3 UNION ALL SELECT ionization_mode, 'instrument', instrument, count(*), round(avg(rr), 6) FROM x GROUP BY 1, 3""",
-    "q44_mass_likelihood": f"{search._H}, {_MED} SELECT adduct, count(*) AS n, round(avg(greatest(-0.5 * ((a - mu) / s) ** 2, -0.5 * ((a + mu) / s) ** 2) + ln(1 + exp(-abs(0.5 * ((a - mu) / s) ** 2 - 0.5 * ((a + mu) / s) ** 2))) - ln(s) - 0.9189385332046727), 5) AS mean_loglik FROM p GROUP BY 1",
+    "q44_mass_likelihood": f"{search._H}, {_MED} SELECT adduct, mass_level, count(*) AS n, round(avg(ln(0.98 * (exp(-0.5 * ((a - mu) / s) ** 2) + exp(-0.5 * ((-a - mu) / s) ** 2)) / (s * sqrt(2 * pi())) + 0.02 / 50)), 5) AS mean_loglik FROM p GROUP BY 1, 2",
     "q45b_consensus": f"""WITH {D.POOL}, mm AS (SELECT DISTINCT spectrum_id, molecule_id FROM test WHERE molecule_id IS NOT NULL), r AS (SELECT molecule_id, candidate, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, abs_mass_error_ppm NULLS LAST, candidate) AS r FROM pool JOIN mm ON mm.spectrum_id = query_id WHERE score IS NOT NULL),
  c AS (SELECT molecule_id, candidate, count(*) AS n, sum(score) AS w FROM r WHERE r = 1 GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY molecule_id ORDER BY n DESC, round(w, 9) DESC, candidate) AS k, sum(n) OVER (PARTITION BY molecule_id) AS t FROM c),
  s AS (SELECT molecule_id, max(CASE WHEN k = 1 THEN n END) AS f, coalesce(max(CASE WHEN k = 2 THEN n END), 0) AS g FROM o GROUP BY 1)
@@ -145,7 +147,7 @@ ORACLE = {
     "q71_marginal_weights": f"""{search._H}, {', '.join(f'''p{i} AS (SELECT {c}, count(*) AS n FROM trainq GROUP BY 1), t{i} AS (SELECT {c}, count(*) AS n FROM testq GROUP BY 1), w{i} AS (SELECT p{i}.{c} AS k, least(greatest((coalesce(t{i}.n, 0) / (SELECT sum(n) FROM t{i})) / (p{i}.n / (SELECT sum(n) FROM p{i})), 0.1), 10.0) AS w FROM p{i} LEFT JOIN t{i} ON t{i}.{c} IS NOT DISTINCT FROM p{i}.{c})''' for i, c in enumerate(('adduct', 'ionization_mode')))}
  SELECT count(*) AS n, round(sum(w0.w * w1.w) ** 2 / sum((w0.w * w1.w) ** 2), 3) AS n_effective FROM trainq q JOIN w0 ON w0.k IS NOT DISTINCT FROM q.adduct JOIN w1 ON w1.k IS NOT DISTINCT FROM q.ionization_mode""",
     "q72_list_metrics": f"WITH {_RANKED}, t AS (SELECT query_id, min(candidate) AS truth FROM pool WHERE is_true_candidate GROUP BY 1) SELECT t.query_id, round(coalesce(1.0 / r.rank, 0), 6) AS rr, (r.rank IS NOT NULL)::INT::DOUBLE AS hit FROM t LEFT JOIN rk r ON r.query_id = t.query_id AND r.candidate = t.truth AND r.rank <= 10",
-    "q74_end_to_end": f"""{search._H}, near AS (SELECT q.query_id, q.molecule_id, l.connectivity_key AS candidate, min(abs((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6)) AS e FROM testq q JOIN lib l ON l.exact_mass BETWEEN q.neutral_mass - q.neutral_mass * 2000.0 * 1e-6 AND q.neutral_mass + q.neutral_mass * 2000.0 * 1e-6 WHERE q.neutral_mass > 0 AND q.molecule_id IS NOT NULL GROUP BY 1, 2, 3),
+    "q74_end_to_end": f"""{search._H}, near AS (SELECT q.query_id, q.molecule_id, l.connectivity_key AS candidate, min(abs((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6)) AS e FROM testq q JOIN lib l ON l.exact_mass > 0 WHERE q.neutral_mass > 0 AND q.molecule_id IS NOT NULL GROUP BY 1, 2, 3),
  lv AS (SELECT *, min(e) OVER (PARTITION BY query_id) AS best, row_number() OVER (PARTITION BY query_id ORDER BY e, candidate) AS k FROM near), h AS (SELECT *, round(-((e / 10.0) ** 2) / 2, 9) / 1.1947045 AS z FROM lv WHERE (best <= 10 AND e <= 10) OR (best > 10 AND best <= 50 AND e <= 50) OR (best > 50 AND k <= 5)),
  x AS (SELECT *, exp(z - max(z) OVER (PARTITION BY query_id)) AS x FROM h), r AS (SELECT *, x / sum(x) OVER (PARTITION BY query_id) AS prob FROM x), b AS (SELECT molecule_id, min(query_id) AS s FROM (SELECT molecule_id, query_id, max(prob) AS p, max(max(prob)) OVER (PARTITION BY molecule_id) AS m FROM r GROUP BY 1, 2) WHERE p = m GROUP BY 1)
  SELECT * FROM (SELECT r.molecule_id, candidate, round(prob, 6) AS agg_score, row_number() OVER (PARTITION BY r.molecule_id ORDER BY round(prob, 9) DESC, round(e, 9), candidate) AS mol_rank FROM r JOIN b ON b.molecule_id = r.molecule_id AND b.s = r.query_id) WHERE mol_rank <= 25""",

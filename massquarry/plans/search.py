@@ -53,8 +53,8 @@ def q03_dedupe_variants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q04_nearest_n_fallback(spark: SparkSession, d: str) -> DataFrame:
-    f = retrieval.fallback_search(D.test_queries(spark, d), D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [3.0, 30.0], nearest=3, widest=2000.0)  # as the SQL has it
-    return f.select("query_id", "connectivity_key", R("abs_mass_error_ppm"), "level_ppm")
+    f = retrieval.fallback_search(D.test_queries(spark, d), D.library(spark, d), "query_id", "neutral_mass", "connectivity_key", "exact_mass", [3.0, 30.0], nearest=3)
+    return f.select("query_id", "connectivity_key", R("abs_mass_error_ppm"), F.when(F.col("level_ppm") <= 30, F.col("level_ppm")).alias("level_ppm"))
 
 
 def _ranked(spark: SparkSession, d: str) -> DataFrame:
@@ -169,9 +169,12 @@ def q27_softmax(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q36_brier_ece(spark: SparkSession, d: str) -> DataFrame:
-    t = D.table(spark, d, "candidate_pool").where(F.col("is_true_candidate").isNotNull()).select("query_id", F.col("candidate_connectivity_key").alias("candidate"), "score", F.col("is_true_candidate").cast("int").alias("t"))
-    t = t.where(F.col("score").isNotNull() & ~F.isnan("score")).withColumn("prob", F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)))
-    return ranking.brier_ece(ranking.calibration_table(t, "prob", "t")).select("n", R("brier"), R("ece"))
+    """Calibration of the softmax of the scores, over the spectra whose truth is in the pool."""
+    p = _scored(spark, d).where(F.col("score").isNotNull())
+    has = p.where("is_true_candidate").select("query_id").distinct()
+    p = ranking.softmax(p.join(has, "query_id", "left_semi"), "score", "query_id", 0.25).withColumn("prob", F.round("prob", 9))
+    r = ranking.calibration_report(p, "prob", "query_id", "is_true_candidate", "candidate")
+    return r.select("n_spectra", *(R(c) for c in ("nll", "brier", "brier_top1", "ece_top1")))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k.startswith("q") and callable(v)}
@@ -201,9 +204,9 @@ ORACLE = {
     "q02c_window_of_candidate_mass": f"{_H} SELECT q.query_id, l.mass_variant_id, round(abs((l.exact_mass - q.neutral_mass) / l.exact_mass * 1e6), 6) AS abs_mass_error_ppm FROM testq q JOIN lib l ON l.exact_mass >= q.neutral_mass - l.exact_mass * 33.0 * 1e-6 AND l.exact_mass <= q.neutral_mass + l.exact_mass * 33.0 * 1e-6 WHERE q.neutral_mass > 0",
     "q03_dedupe_variants": f"{_POOL} SELECT query_id, connectivity_key, round(abs_mass_error_ppm, 6) AS abs_mass_error_ppm, n_supporting_variants, is_true_candidate FROM ranked",
     "q04_nearest_n_fallback": f"""{_H}, near AS (SELECT q.query_id, l.connectivity_key, min(abs((l.exact_mass - q.neutral_mass) / q.neutral_mass * 1e6)) AS e FROM testq q JOIN lib l
-  ON l.exact_mass BETWEEN q.neutral_mass - q.neutral_mass * 2000.0 * 1e-6 AND q.neutral_mass + q.neutral_mass * 2000.0 * 1e-6 WHERE q.neutral_mass > 0 GROUP BY 1, 2),
+  ON l.exact_mass > 0 WHERE q.neutral_mass > 0 GROUP BY 1, 2),
  lv AS (SELECT *, min(e) OVER (PARTITION BY query_id) AS best, row_number() OVER (PARTITION BY query_id ORDER BY e, connectivity_key) AS r FROM near)
- SELECT query_id, connectivity_key, round(e, 6) AS abs_mass_error_ppm, CASE WHEN best <= 3 THEN 3.0::DOUBLE WHEN best <= 30 THEN 30.0 ELSE 2000.0 END AS level_ppm FROM lv
+ SELECT query_id, connectivity_key, round(e, 6) AS abs_mass_error_ppm, CASE WHEN best <= 3 THEN 3.0::DOUBLE WHEN best <= 30 THEN 30.0 END AS level_ppm FROM lv
  WHERE (best <= 3 AND e <= 3) OR (best > 3 AND best <= 30 AND e <= 30) OR (best > 30 AND r <= 3)""",
     "q05_rank_by_keys": f"{_POOL} SELECT query_id, connectivity_key, rank FROM ranked",
     "q06_per_query_metrics": f"{_POOL} SELECT query_id, n_candidates, truth_rank, round(rr, 6) AS rr, hit_at_1, hit_at_5, hit_at_25 FROM metrics",
@@ -229,6 +232,9 @@ ORACLE = {
     "q26b_rank_sum": f"""WITH {D.POOL}, r AS (SELECT query_id, candidate, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, candidate) + row_number() OVER (PARTITION BY query_id ORDER BY -abs_mass_error_ppm DESC NULLS LAST, candidate) AS rank_sum FROM pool WHERE score IS NOT NULL)
  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank_sum, candidate) AS rank FROM r) WHERE rank <= 10""",
     "q27_softmax": f"WITH {D.POOL}, e AS (SELECT query_id, candidate, exp(score / 0.25 - max(score / 0.25) OVER (PARTITION BY query_id)) AS e FROM pool WHERE score IS NOT NULL) SELECT query_id, candidate, round(e / sum(e) OVER (PARTITION BY query_id), 6) AS prob FROM e",
-    "q36_brier_ece": """WITH t AS (SELECT least(greatest(score, 0.0), 1.0) AS p, is_true_candidate::INT AS t FROM candidate_pool WHERE is_true_candidate IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)),
- b AS (SELECT least(floor(p * 10), 9) AS b, count(*) AS n, avg(p) AS mp, avg(t) AS acc, sum((p - t) ** 2) AS se FROM t GROUP BY 1) SELECT sum(n)::BIGINT AS n, round(sum(se) / sum(n), 6) AS brier, round(sum(abs(mp - acc) * n) / sum(n), 6) AS ece FROM b""",
+    "q36_brier_ece": f"""WITH {D.POOL}, e AS (SELECT query_id, candidate, is_true_candidate AS t, exp(score / 0.25 - max(score / 0.25) OVER (PARTITION BY query_id)) AS e FROM pool WHERE score IS NOT NULL),
+ p AS (SELECT query_id, candidate, t, round(e / sum(e) OVER (PARTITION BY query_id), 9) AS p FROM e WHERE query_id IN (SELECT query_id FROM e WHERE t)),
+ b AS (SELECT query_id, sum((p - t::INT) ** 2) AS brier FROM p GROUP BY 1), top AS (SELECT p, t FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY p DESC, candidate) = 1),
+ bins AS (SELECT count(*) AS n, avg(p) AS c, avg(t::INT) AS a FROM top GROUP BY least(floor(p * 10), 9))
+ SELECT (SELECT count(*) FROM b) AS n_spectra, round((SELECT -avg(ln(greatest(p, 1e-300))) FROM p WHERE t), 6) AS nll, round((SELECT avg(brier) FROM b), 6) AS brier, round((SELECT avg((p - t::INT) ** 2) FROM top), 6) AS brier_top1, round((SELECT sum(n * abs(a - c)) / sum(n) FROM bins), 6) AS ece_top1""",
 }
