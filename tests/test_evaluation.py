@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from massquarry.functions.kernels import twins
 from massquarry.operators import evaluation, models, references, spectra
 
 P = "array<struct<mz:double,intensity:double>>"
@@ -14,8 +13,7 @@ def test_tiers(spark):
     rows = [(1, a, a, 300.0, 300.0, 1.0), (2, a, b, 300.0, 300.005, 1.0), (3, a, c, 300.0, 300.005, 0.97), (4, a, c, 300.0, 310.0, 0.4), (5, a, None, None, 300.0, None)]
     df = spark.createDataFrame(rows, f"id int, q_peaks {P}, r_peaks {P}, q_precursor double, r_precursor double, cosine double").withColumns({"q_adduct": F.lit("x"), "r_adduct": F.when(F.col("id") < 5, "x"), "q_mode": F.lit("p"), "r_mode": F.lit("p")})
     df = df.withColumns({f"{s}_hash": spectra.peak_hash(F.col(f"{s}_peaks"), F.col(f"{s}_precursor")) for s in "qr"})
-    assert {r.id: r.tier for r in references.identity_tier(df).collect()} == {1: "T1", 2: "T2", 3: "T3", 4: "T4", 5: "T5"}
-    assert twins([], [], 1, 1) == (0.0, 0.0, 0.0)
+    assert {r.id: r.tier for r in references.identity_tier(df).collect()} == {1: "T1", 2: "T2", 3: "T3", 4: "T4", 5: "T4"}
 
 
 def test_peak_hash_ignores_order_and_scale(spark):
@@ -53,5 +51,5 @@ def test_censored_median_and_bins(spark):
     df = spark.createDataFrame([("a", 1, True), ("a", 2, True), ("a", 5, False), ("b", 5, False), ("b", 5, False), ("b", 1, True)], "g string, n int, e boolean")
     got = {r.g: r["median"] for r in evaluation.censored_median(df, "g", "n", "e").collect()}
     assert got == {"a": 2.0, "b": None}
-    b = spark.createDataFrame([(0,), (1,), (7,), (600,)], "n int").select(evaluation.pool_bin(F.col("n")).alias("b")).collect()
-    assert [r.b for r in b] == [0, 1, 2, 5]
+    b = spark.createDataFrame([(0,), (1,), (7,), (49,), (50,), (600,), (799,), (800,)], "n int").select(evaluation.pool_bin(F.col("n")).alias("b")).collect()
+    assert [r.b for r in b] == [0, 0, 0, 0, 1, 4, 4, 5]  # edges 0, 50, 100, 200, 400, 800
