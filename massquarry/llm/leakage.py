@@ -41,15 +41,16 @@ _WORD = re.compile("\x01?[^\\W_]+")
 _WITHIN = re.compile(r"(?<=[^\W_][ ,;] )[A-Z][a-z]+|(?<=[^\W_] )[A-Z][a-z]+")
 _MULT, _MULT2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _LIMIT = 1_000_000
+_NONE = np.zeros(0, np.uint64)
 
 
-def kind_of(word: str, varying: frozenset[str] = frozenset()) -> int:
+def kind_of(word: str, varies: bool = False) -> int:
     """WORDS, NUMBER, UNIT or NAME for a lower-case word."""
     if word.isdigit() or word in NUMBER_WORDS:
         return NUMBER
     if word in UNIT_WORDS:
         return UNIT
-    if any(c.isdigit() for c in word) or word in varying or (len(word) > 6 and word.endswith(NAME_ENDINGS)):
+    if any(c.isdigit() for c in word) or varies or (len(word) > 6 and word.endswith(NAME_ENDINGS)):
         return NAME
     return WORDS
 
@@ -69,8 +70,8 @@ def _roll(acc: np.ndarray, v: np.ndarray, mult: np.uint64) -> np.ndarray:
 class Templates:
     """Windows of texts. What is known of a word is remembered; the memory is emptied at a fixed size."""
 
-    def __init__(self, size: int, literal: int, varying: frozenset[str] = frozenset()):
-        self.size, self.literal, self.varying = size, literal, varying
+    def __init__(self, size: int, literal: int, varying: np.ndarray | None = None):
+        self.size, self.literal, self.varying = size, literal, _NONE if varying is None else varying
         self.known: dict[str, int] = {}
         self.facts: list[tuple[int, int, int]] = []
 
@@ -83,7 +84,9 @@ class Templates:
             w = words[k]
             if w not in known:
                 known[w] = len(self.facts)
-                kind, h = kind_of(w, self.varying), xxhash.xxh64_intdigest(w)
+                h = xxhash.xxh64_intdigest(w)
+                at = np.searchsorted(self.varying, np.uint64(h))
+                kind = kind_of(w, at < len(self.varying) and int(self.varying[at]) == h)
                 self.facts.append((xxhash.xxh64_intdigest(_HOLDER[kind]) if kind else h, h, kind))
             out[k] = known[w]
         return out
@@ -160,7 +163,7 @@ def slots_of(words: list[str], kind) -> list[str]:
     return out
 
 
-def _windows(size: int, literal: int, varying: frozenset[str], wanted: np.ndarray | None):
+def _windows(size: int, literal: int, varying: np.ndarray, wanted: np.ndarray | None):
     """mapInArrow (id, text): id, position, words, key, exact, slots of every window, or of those whose key is among the
     wanted ones, which are sorted. Slots are read twice, without and with capitalised names."""
 
@@ -190,11 +193,11 @@ _SCHEMA = "id long, position int, template long, exact long, slots array<string>
 
 
 def _masked(size: int):
-    """mapInArrow (id, text): hash of each window without each one of its words, and that word."""
+    """mapInArrow (id, text): hash of each window without each one of its words, and that word's hash."""
 
     def run(batches):
         for b in batches:
-            out, words = [], []
+            out, words = [_NONE], [_NONE]
             for t in b.column(1).to_pylist():
                 w = words_of(t)[0] if t else []
                 h = np.array([xxhash.xxh64_intdigest(x) for x in w], np.uint64)
@@ -204,19 +207,19 @@ def _masked(size: int):
                     for k in range(size):
                         acc = acc if k == skip else _roll(acc, h[at + k], _MULT)
                     out.append(acc)
-                    words += [w[p + skip] for p in at.tolist()]
-            flat = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(words, pa.string())], ["frame", "word"])
+                    words.append(h[at + skip])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (out, words)], ["frame", "word"])
 
     return run
 
 
-def varying_words(items: DataFrame, size: int, bound: int) -> frozenset[str]:
-    """Words that differ between item windows that are otherwise equal; beyond `bound` of them, none."""
-    rows = items.mapInArrow(_masked(size), "frame long, word string").distinct()
+def varying_words(items: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of all words that differ between item windows that are otherwise equal: eight bytes a word of the
+    items' vocabulary."""
+    rows = items.mapInArrow(_masked(size), "frame long, word long").distinct()
     frames = rows.groupBy(F.col("frame").alias("f__")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    words = rows.join(frames, F.col("frame") == F.col("f__"), "left_semi").select("word").distinct().limit(bound + 1).collect()
-    return frozenset(r[0] for r in words if len(words) <= bound)
+    words = rows.join(frames, F.col("frame") == F.col("f__"), "left_semi").select("word").distinct().toArrow()
+    return np.sort(words.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _consistent(a: str, b: str) -> Column:
@@ -234,10 +237,11 @@ def leaks(corpus: DataFrame, items: DataFrame, doc: str, item: str, text: str =
     differ in slots only, consistently. Items and documents with fewer than `window` words, null and empty texts share
     none. Texts of any length are read whole; repeated rows of one id count once; empty tables give an empty result.
     Up to `bound` distinct item templates (16 MB) are sent to the tasks as a sorted array, so that only windows that
-    join leave them; beyond it, all windows leave and the join is shuffled. So are the words that vary between items.
+    join leave them; beyond it, all windows leave and the join is shuffled, with the same result. The words that vary
+    between items are sent as hashes, all of them.
     """
     key = lambda t, i, x: t.select(F.col(i).cast("long").alias("id"), F.col(x).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
-    varying = varying_words(key(items, item, item_text), window, bound // 20)
+    varying = varying_words(key(items, item, item_text), window)
     own = key(items, item, item_text).mapInArrow(_windows(window, literal, varying, None), _SCHEMA)
     own = own.select(F.col("id").alias("item_id"), "template", F.col("exact").alias("i_exact"), F.col("slots").alias("i_slots"), F.col("named").alias("i_named")).distinct()
     few = own.select("template").distinct().limit(bound + 1)

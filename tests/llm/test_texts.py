@@ -184,3 +184,14 @@ def test_driver_gets_character_pairs_only():
     """Characters that no wrong reading produces count as one."""
     assert len(encoding.PRODUCED) < 800
     assert encoding.shape("漢字9 12é") == encoding.OTHER * 2 + "0 00é"
+
+
+def test_words_that_vary_do_not_depend_on_the_number_of_items(spark):
+    text = "we heated the {} sample slowly over an open flame until all of the water had left the {} flask again"
+    pairs = [("red", "round"), ("blue", "round"), ("red", "tall"), ("green", "tall"), ("green", "wide")]
+    i = spark.createDataFrame([(k, text.format(*p)) for k, p in enumerate(pairs)], "item_id long, text string")
+    d = spark.createDataFrame([(1, text.format("violet", "short")), (2, text.format("blue", "wide")), (3, text.format("red", "round"))], "doc_id long, text string")
+    d = d.unionByName(spark.createDataFrame([(4, text.format("tall", "red"))], d.schema))
+    few, many = ({tuple(x) for x in leakage.leaks(d, i, "doc_id", "item_id", bound=b).collect()} for b in (2_000_000, 20))
+    assert few == many
+    assert any(x[0] == 4 and x[3] for x in few)
