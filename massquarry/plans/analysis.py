@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from massquarry.functions import structures
-from massquarry.operators import quality, ranking, spectra, statistics, universe
+from massquarry.operators import blocks, quality, ranking, spectra, statistics, universe
 from massquarry.plans import domain as D
 
 R = lambda c, n=6: F.round(c, n).alias(c)
@@ -113,12 +113,9 @@ def q51b_tanimoto_bits(spark: SparkSession, d: str) -> DataFrame:
 def q52_analog_topk(spark: SparkSession, d: str) -> DataFrame:
     """The three most similar train spectra of each test spectrum with the same polarity and a precursor within 20 Da, by
     binned cosine from 0.3."""
-    ok = F.col("precursor_mz") > 0
-    q = D.test_spectra(spark, d).where(ok).select(F.col("spectrum_id").alias("q"), F.col("ionization_mode").alias("mode"), "precursor_mz", "peaks")
-    t = _train(spark, d, "ionization_mode", "precursor_mz", "ms2_mzs", "ms2_normalized_intensities").where(ok)
-    t = t.select(F.col("row_offset").alias("r"), F.col("ionization_mode").alias("mode"), "precursor_mz", spectra.peaks(F.col("ms2_mzs"), F.col("ms2_normalized_intensities")).alias("peaks"))
-    a, b = spectra.binned(q, ["q", "mode", "precursor_mz"], F.col("peaks")), spectra.binned(t, ["r", "mode", "precursor_mz"], F.col("peaks"))
-    s = spectra.similar_pairs(a, b, "q", "r", 0.300001, ("mode",), "precursor_mz", 20.0).withColumn("cosine", F.round("cosine", 6))
+    sides = (("test", "spectrum_id"), ("train", "row_offset"))
+    q, t = (blocks.blocks(D.table(spark, d, n), i, "ms2_mzs", "ms2_normalized_intensities", at=F.col("precursor_mz"), part=F.col("ionization_mode"), slot=10.0) for n, i in sides)
+    s = blocks.similar(q, t, "q", "r", 0.300001, width=20.0, best=3).withColumn("cosine", F.round("cosine", 6))
     return ranking.rank_by_keys(s, [("cosine", False), ("r", True)], "q").where("rank <= 3").select(F.col("q").alias("spectrum_id"), F.col("r").alias("row_offset"), "cosine", "rank")
 
 
