@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 from collections import defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from massquarry.operators import blocks
-from massquarry.plans import evaluation, evidence
+from massquarry.plans import analysis, domain, evaluation, evidence
 
 
 def sums(m, v):
@@ -87,3 +88,25 @@ def test_best_within_a_window_and_part(spark):
         near = [b for b in t if ok(a) and ok(b) and a[1] == b[1] and abs(a[2] - b[2]) <= 20.0]
         c = sorted((-round(cosine(sums(*a[3:]), sums(*b[3:])), 6), b[0]) for b in near if cosine(sums(*a[3:]), sums(*b[3:])) >= 0.3)
         assert sorted(found[a[0]])[:3] == c[:3]
+
+
+def by_pairs(spark, d):
+    """The tiers of q20 from a join of single pairs."""
+    mass = lambda t, i, x, p: domain.table(spark, d, t).where("precursor_mz > 0").dropDuplicates([i]).select(F.col(i).alias(x), F.col("precursor_mz").alias(p))
+    near = mass("test", "spectrum_id", "query_id", "qp").join(mass("train", "row_offset", "r_id", "rp"), F.abs(F.col("qp") - F.col("rp")) <= 0.0101).select("query_id", "r_id")
+    return {tuple(x) for x in evidence._tiers(spark, d, near).where("tier <> 'T4'").collect()}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_tiers_in_blocks(spark):
+    d = "/root/testdata/sf0.01"
+    df = evidence.q20_identity_tiers(spark, d)
+    assert "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(x) for x in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == by_pairs(spark, d) and {x[2] for x in got} >= {"T1", "T3"}
+
+
+def test_analogues_shuffle_no_pairs(spark):
+    d = os.environ.get("MASSQUARRY_TEST_DATA", "/root/testdata/sf0.001")
+    plan = analysis.q52_analog_topk(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1  # the rank per query
