@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from massquarry.workspace import stage
+
 # Elements of organic formulas.
 ORGANIC = ("C", "H", "N", "O", "S", "P", "F", "Cl", "Br", "I", "Si", "B", "Se")
 
@@ -106,18 +110,34 @@ def tanimoto(a: Column, b: Column) -> Column:
     return count(lambda x, y: x.bitwiseAND(y)) / F.nullif(count(lambda x, y: x.bitwiseOR(y)), F.lit(0))
 
 
-def set_similarity(df: DataFrame, key: str, items: str, least: float) -> DataFrame:
-    """a, b, similarity: pairs of keys whose distinct items reach the Tanimoto (Jaccard) similarity `least`, by prefix
-    filtering: items are ordered from rare to frequent, and only the first n - ceil(least * n) + 1 can be without a
-    common one, so frequent items never meet in a join. least must be above zero."""
+def distinct_sets(df: DataFrame, key: str, items: str) -> DataFrame:
+    """k, s, n: the distinct items of each key, sorted, and their number."""
     rows = df.select(F.col(key).alias("k"), F.explode(F.array_distinct(items)).alias("t")).where(F.col("k").isNotNull() & F.col("t").isNotNull())
-    freq = rows.groupBy(F.col("t").alias("u")).agg(F.count(F.lit(1)).alias("f"))
-    ranked = rows.join(freq, F.col("t") == F.col("u"))
-    sets = ranked.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "t"))), lambda x: x["t"]).alias("s")).withColumn("n", F.size("s"))
-    first = sets.select("k", "n", F.explode(F.slice("s", 1, F.col("n") - F.ceil(F.lit(least) * F.col("n")).cast("int") + 1)).alias("t"))
-    l, r = first.select(F.col("k").alias("a"), F.col("n").alias("na"), "t"), first.select(F.col("k").alias("b"), F.col("n").alias("nb"), "t")
-    pairs = l.join(r, "t").where((F.col("a") < F.col("b")) & (F.col("na") >= least * F.col("nb")) & (F.col("nb") >= least * F.col("na"))).select("a", "b").distinct()
-    both = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
+    return rows.groupBy("k").agg(F.array_sort(F.collect_set("t")).alias("s")).withColumn("n", F.size("s"))
+
+
+def set_pairs(sets: DataFrame, least: float) -> DataFrame:
+    """a, b: the pairs of sets that can reach the Jaccard similarity `least`.
+
+    Sets of x and y items that reach it differ in no more than (x + y) (1 - least) / (1 + least) items. Items fall by hash
+    into one part more than that, so at least one part is the same in both: sets meet by size class and whole parts, and
+    never by single items, of which many sets share the frequent ones. Sizes grow by 1 / least from class to class; a set
+    meets in its own class and in the next one."""
+    step = math.log(1 / least) if least < 1 else 1.0
+    own = F.floor(F.log("n") / step + 1e-9)
+    top = F.ceil(F.exp((F.col("c") + 1) * step) + 1e-6)  # no set of the class is larger
+    met = sets.select("k", "n", "s", F.explode(F.array(own, own + 1)).alias("c")).withColumn("parts", (F.floor(2 * top * (1 - least) / (1 + least) + 1e-6) + 1).cast("int"))
+    met = met.withColumn("h", F.transform("s", lambda t: F.struct(F.pmod(F.xxhash64(t), F.col("parts")).cast("int").alias("p"), F.xxhash64(t, F.lit(1)).alias("h"))))
+    of = lambda i: F.array_sort(F.transform(F.filter("h", lambda x: x["p"] == i), lambda x: x["h"]))
+    met = met.select("k", "n", "c", F.posexplode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.xxhash64(of(i)))).alias("p", "g"))
+    l, r = met.withColumnsRenamed({"k": "a", "n": "na"}), met.withColumnsRenamed({"k": "b", "n": "nb"})
+    return l.join(r, ["c", "p", "g"]).where((F.col("a") < F.col("b")) & (F.col("na") >= least * F.col("nb")) & (F.col("nb") >= least * F.col("na"))).select("a", "b").distinct()
+
+
+def set_similarity(df: DataFrame, key: str, items: str, least: float) -> DataFrame:
+    """a, b, similarity: pairs of keys whose distinct items reach the Tanimoto (Jaccard) similarity `least`, above zero."""
+    sets = stage(distinct_sets(df, key, items), "sets")
+    both = set_pairs(sets, least).join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
     return both.select("a", "b", (F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))).alias("similarity")).where(F.col("similarity") >= least)
 
 

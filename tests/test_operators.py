@@ -189,6 +189,26 @@ def test_set_similarity_and_bits(spark):
     assert v.same == 1.0 and v.other < 1.0 and v.none is None
 
 
+@pytest.mark.parametrize("least", [0.3, 0.75, 0.9, 1.0])
+def test_set_similarity_of_sets_that_share_frequent_items(spark, least):
+    r = random.Random(9)
+    sets = {}
+    for k in range(0, 90, 3):
+        s = set(r.sample(range(60), r.randrange(1, 45)))
+        sets |= {k: s, k + 1: s ^ set(r.sample(range(60), r.randrange(3))) or {1}, k + 2: set(s)}
+    df = spark.createDataFrame([(k, [f"i{x}" for x in v]) for k, v in sets.items()], "k long, s array<string>")
+    got = {(x.a, x.b): x.similarity for x in universe.set_similarity(df, "k", F.col("s"), least).collect()}
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(sorted(sets), 2)}
+    assert got == {p: pytest.approx(v) for p, v in want.items() if v >= least}
+
+
+def test_sets_meet_by_parts_not_by_items(spark):
+    """Sets of few frequent items, none alike: nearly no pair of them is compared."""
+    r = random.Random(2)
+    df = spark.createDataFrame([(k, sorted(r.sample(range(80), 40))) for k in range(600)], "k long, s array<int>")
+    assert universe.set_pairs(universe.distinct_sets(df, "k", F.col("s")), 0.9).count() < 1_000
+
+
 def test_contracts(spark):
     a = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "k long, v double")
     b = spark.createDataFrame([(1, 1.0 + 1e-12), (2, float("nan")), (4, 1.0)], "k long, v double")
