@@ -2,9 +2,12 @@
 
 Equal vectors are searched once and stand for all their ids. Shards are groups of vectors that can be similar at all:
 
-- by default, vectors that name a common key are linked, and the connected components of all links are the shards. Keys
+- by default, vectors that name a common key are linked, and the connected components of the links are the shards. Keys
   are the triples among a vector's strongest bins, and those single bins and pairs among them that alone hold `heavy` of
-  its squared length. The share of pairs that this misses is measured in the tests and stated in the README;
+  its squared length. The share of pairs that this misses is measured in the tests and stated in the README. Among very
+  many vectors any two meet in some key by chance, and links by chance would join everything to one shard: a link by a
+  single key of few vectors counts only if the two vectors' cosine is at least two thirds of `least`, or if other links
+  join them anyway;
 - with `exact`, a shard is a bin: bins are ordered from rare to frequent, and a vector belongs to the shards of its first
   bins, up to where what is left is shorter than `least`. Two vectors with a cosine of at least `least` have their first
   common bin among those of both, so they meet in its shard, and no pair is missed.
@@ -23,6 +26,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from massquarry.llm.splits import components
@@ -31,6 +35,8 @@ from massquarry.workspace import stage
 
 #: Vectors of a large shard that its tree is fitted on, at most; the tree then assigns every vector.
 SAMPLE = 65_536
+#: Vectors that share a key, above which the key links them for sure.
+HOT = 16
 #: Rows that one task sends through a tree, or asks of a leaf, before the work is divided.
 _PORTION = 50_000
 
@@ -84,8 +90,9 @@ def keys_of(off: np.ndarray, bins: np.ndarray, w: np.ndarray, m: int, heavy: flo
 
 
 def _key_rows(m: int, heavy: float):
-    """mapInArrow (id, vector): key and id. Of a batch's rows with one key, the first leaves with it, and each other one
-    leaves linked to the first by a key of their own, so a key that very many rows share leaves each batch once."""
+    """mapInArrow (id, vector): key, id, sure. Rows of one id and key leave a batch once. Where more than HOT vectors of a
+    batch share a key, the first leaves with it, and each other one leaves linked to the first, for sure, by a key of their
+    own, so a key that very many rows share leaves each batch once."""
 
     def run(batches):
         for b in batches:
@@ -96,23 +103,70 @@ def _key_rows(m: int, heavy: float):
             own = ids[row]
             order = np.lexsort((own, key))
             key, own = key[order], own[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+            key, own = key[new], own[new]
             first = np.ones(len(key), bool)
             first[1:] = key[1:] != key[:-1]
             at = np.flatnonzero(first)
-            head = np.repeat(own[at], np.diff(np.append(at, len(key))))
-            links = np.unique(np.stack([own[~first], head[~first]]), axis=1)
-            links = links[:, links[0] != links[1]]
+            size = np.diff(np.append(at, len(key)))
+            hot = ~first & np.repeat(size > HOT, size)
+            links = np.unique(np.stack([own[hot], np.repeat(own[at], size)[hot]]), axis=1)
             between = _mix(np.zeros(links.shape[1], np.int64), *links)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[at], between, between])), pa.array(np.concatenate([own[at], links[0], links[1]]))], ["key", "id"])
+            sure = np.zeros((~hot).sum() + 2 * len(between), bool)
+            sure[(~hot).sum() :] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([key[~hot], between, between])), pa.array(np.concatenate([own[~hot], links[0], links[1]])), pa.array(sure)], ["key", "id", "sure"])
 
     return run
 
 
-def _by_links(vectors: DataFrame, m: int, heavy: float) -> DataFrame:
-    """shard, id: the connected components of vectors with common keys."""
-    keyed = vectors.select("id", "vector").mapInArrow(_key_rows(m, heavy), "key long, id long")
-    links = keyed.withColumn("v", F.min("id").over(W.partitionBy("key"))).where(F.col("id") != F.col("v"))
-    return components(links.select(F.col("id").alias("u"), "v")).select(F.col("root").alias("shard"), F.col("node").alias("id"))
+def _halves(batches):
+    """mapInArrow (id, vector): the vectors with weights in half precision."""
+    for b in batches:
+        half = [v[: len(v) // 3] + np.frombuffer(v, "<f8", offset=len(v) // 3).astype("<f2").tobytes() for v in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(half, pa.binary())], ["id", "half"])
+
+
+def _alike(least: float):
+    """mapInArrow (u, v, a, b): u, v where the cosine of a and b, vectors in half precision, is about `least` or more."""
+
+    def run(batches):
+        for batch in batches:
+            off, bins, w = zip(*(from_binary(c.to_pylist(), "<f2") for c in batch.columns[2:]), strict=True)
+            n = batch.num_rows
+            code = [np.repeat(np.arange(n), np.diff(off[x])) << 32 | bins[x] for x in (0, 1)]  # ascending
+            at = np.minimum(np.searchsorted(code[0], code[1]), max(0, len(code[0]) - 1))
+            same = code[0][at] == code[1]
+            keep = pa.array(np.bincount(code[1][same] >> 32, w[0][at[same]] * w[1][same], n) >= least)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], ["u", "v"])
+
+    return run
+
+
+def _by_links(vectors: DataFrame, m: int, heavy: float, least: float) -> DataFrame:
+    """shard, id: the connected components of vectors (id, vector) with common keys. Repeated rows count once; of different
+    vectors with one id, each brings its links."""
+    keyed = vectors.mapInArrow(_key_rows(m, heavy), "key long, id long, sure boolean")
+    same = W.partitionBy("key")
+    links = keyed.withColumn("last", F.lag("id").over(same.orderBy("id"))).withColumn("head", F.min("id").over(same)).withColumn("n", F.count(F.lit(1)).over(same))
+    # with the first of the key, and with the one before, in case that the first is there by chance
+    links = links.where(F.col("last") != F.col("id")).select("id", F.explode(F.array_distinct(F.array("head", "last"))).alias("v"), (F.col("sure") | (F.col("n") > HOT)).alias("sure"))
+    links = stage(links.groupBy(F.col("id").alias("u"), "v").agg((F.max("sure") | (F.count(F.lit(1)) > 1)).alias("sure")), "links")
+    # u is above v, and a component's root is its smallest node
+    sure = stage(components(links.where("sure").select("u", "v")), "roots")
+    root = lambda side: sure.select(F.col("node").alias(f"{side}__"), F.col("root").alias(f"{side}_root"))
+    weak = links.where(~F.col("sure")).join(root("u"), F.col("u") == F.col("u__"), "left").join(root("v"), F.col("v") == F.col("v__"), "left")
+    weak = weak.select("u", "v", F.coalesce("u_root", "u").alias("u_root"), F.coalesce("v_root", "v").alias("v_root")).where(F.col("u_root") != F.col("v_root"))
+    weak = stage(weak, "weak")
+    ends = weak.select(F.explode(F.array("u", "v")).alias("e__")).distinct()
+    half = vectors.mapInArrow(_halves, "id long, half binary").join(ends, F.col("id") == F.col("e__"), "left_semi").dropDuplicates(["id", "half"])
+    half = stage(half, "halves")
+    side = lambda x: half.select(F.col("id").alias(f"{x}__"), F.col("half").alias(f"{x}_half"))
+    alike = weak.join(side("u"), F.col("u") == F.col("u__")).join(side("v"), F.col("v") == F.col("v__"))
+    alike = alike.select("u_root", "v_root", "u_half", "v_half").mapInArrow(_alike(least * 2 / 3), "u long, v long")
+    more = stage(components(alike), "roots").select(F.col("node").alias("m__"), F.col("root").alias("shard"))
+    joined = sure.join(more, F.col("root") == F.col("m__"), "left").select(F.coalesce("shard", "root").alias("shard"), F.col("node").alias("id"))
+    return joined.unionByName(more.join(sure, F.col("m__") == F.col("node"), "left_anti").select("shard", F.col("m__").alias("id")))
 
 
 def _bins(batches):
@@ -236,31 +290,78 @@ def _found(parts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(i, pa.int64()), pa.array(j, pa.int64()), pa.array(s, pa.float64())], ["shard", "id", "neighbour", "similarity"])
 
 
-def _own_leaf(k: int, least: float, factor: float):
+def _within(ids: np.ndarray, size: np.ndarray, off: np.ndarray, bins: np.ndarray, w: np.ndarray, k: int, least: float):
+    """row, neighbour's row, similarity: up to k neighbours of every row within its group. Rows of one group after another;
+    size: rows of each group. For groups too small for a tree: all are compared at once."""
+    g = np.repeat(np.arange(len(size)), size)
+    first, base = (np.cumsum(x) - x for x in (size, size**2))
+    slot = base[g] + (np.arange(len(ids)) - first[g]) * size[g] - first[g]  # of a pair of rows i, j: slot[i] + j
+    row = np.repeat(np.arange(len(ids)), np.diff(off))
+    code = g[row] << 32 | bins
+    order = np.argsort(code, kind="stable")
+    code, row, w = code[order], row[order], w[order]
+    new = np.ones(len(code) + 1, bool)
+    new[1:-1] = code[1:] != code[:-1]
+    at = np.flatnonzero(new)
+    left = np.repeat(at[1:], np.diff(at)) - 1 - np.arange(len(code))  # rows that follow with the same bin
+    slots, products, at, d = [], [], np.flatnonzero(left), 1
+    while len(at):
+        slots.append(slot[row[at]] + row[at + d])
+        products.append(w[at] * w[at + d])
+        at = at[left[at] > d]
+        d += 1
+    if not slots:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    s = np.round(np.bincount(np.concatenate(slots), np.concatenate(products)), 6)
+    hit = np.flatnonzero(s >= least)
+    of = np.searchsorted(base, hit, side="right") - 1
+    i, j = first[of] + (hit - base[of]) // size[of], first[of] + (hit - base[of]) % size[of]
+    i, j, s = np.append(i, j), np.append(j, i), np.append(s[hit], s[hit])
+    order = np.lexsort((ids[j], -s, i))
+    i, j, s = i[order], j[order], s[order]
+    start = np.ones(len(i), bool)
+    start[1:] = i[1:] != i[:-1]
+    at = np.flatnonzero(start)
+    best = np.arange(len(i)) - np.repeat(at, np.diff(np.append(at, len(i)))) < k
+    return i[best], j[best], s[best]
+
+
+def _own_leaf(k: int, least: float, factor: float, small: int = 64, portion: int = 4_000_000):
     """mapInArrow (group, id, vector) sorted by group (shard, leaf, part): every row's neighbours within its group."""
 
-    def run(batches):
-        done, size, rows, group = [], 0, [], None
-
-        def search():
-            if len(rows) < 2:
-                return []
+    def search(b, starts):
+        shard, ids, v = b.column(0).flatten()[0].to_numpy(), b.column(1).to_numpy(), b.column(2)
+        size = np.diff(np.append(starts, b.num_rows))
+        peaks = np.add.reduceat(pc.binary_length(v).to_numpy() // 12, starts)
+        few = np.flatnonzero((size > 1) & (size <= small))
+        for part in np.split(few, np.flatnonzero(np.diff(np.cumsum((size * peaks)[few]) // portion)) + 1):
+            if not len(part):
+                continue
+            rows = np.concatenate([np.arange(starts[x], starts[x] + size[x]) for x in part])
+            i, j, s = _within(ids[rows], size[part], *from_binary(v.take(pa.array(rows)).to_pylist()), k, least)
+            yield shard[rows[i]], ids[rows[i]], ids[rows[j]], s
+        for x in np.flatnonzero(size > small):
+            at = slice(starts[x], starts[x] + size[x])
+            rows = list(zip(ids[at].tolist(), v[at].to_pylist(), strict=True))
             got = Leaf(rows).search(rows, k, least, factor)
-            return [(np.full(len(got[0]), group["shard"]), *got)] if len(got[0]) else []
+            yield np.full(len(got[0]), shard[starts[x]]), *got
 
-        for b in batches:
-            for g, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if g != group:
-                    done += search()
-                    size += len(rows)
-                    rows, group = [], g
-                rows.append((i, v))
-            if size > 20_000 and done:
-                yield _found(done)
-                done, size = [], 0
-        done += search()
-        if done:
-            yield _found(done)
+    def run(batches):
+        rest = None
+        for b in itertools.chain(batches, [None]):
+            if b is not None and not b.num_rows:
+                continue
+            now = b if rest is None else rest if b is None else pa.concat_batches([rest, b])
+            if now is None:
+                return
+            group = np.stack([c.to_numpy() for c in now.column(0).flatten()])
+            starts = np.append(0, 1 + np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)))
+            rest = None
+            if b is not None:  # the last group may go on
+                rest = now.slice(starts[-1])
+                now, starts = now.slice(0, starts[-1]), starts[:-1]
+            if len(starts) and (parts := list(search(now, starts))):
+                yield _found(parts)
 
     return run
 
@@ -513,12 +614,17 @@ def nearest(df: DataFrame, id_col: str, mz: str, intensity: str, k: int = 5, lea
     members = vectors.groupBy("id").agg(F.min("digest").alias("digest"))
     groups = members.groupBy("digest").agg(F.min("id").alias("u"), F.count(F.lit(1)).alias("copies"))
     groups = stage(groups, "groups")
-    # equal vectors have equal keys, so the keys may come from all rows; only one of equal vectors is searched
+    # equal vectors are one node of the links, whose keys may come from all rows; only one of equal vectors is searched
+    # 40 bits, as the shuffles of the keys grow with them; vectors that share a node share their links
+    node = F.xxhash64("digest").bitwiseAND(F.lit(2**40 - 1))
     single = groups.select(F.col("u").alias("r__"))
     # one exchange of the vectors, by id, serves this join, the grouping and the join with the shards
     base = vectors.join(groups.select("u"), F.col("id") == F.col("u"), "left_semi").groupBy("id").agg(F.min_by("vector", "digest").alias("vector"))
-    shards = _by_prefix(base, least) if exact else _by_links(vectors, strongest_bins, heavy)
-    shards = shards.join(single, F.col("id") == F.col("r__"), "left_semi")
+    if exact:
+        shards = _by_prefix(base, least).join(single, F.col("id") == F.col("r__"), "left_semi")
+    else:
+        shards = _by_links(vectors.select(node.alias("id"), "vector"), strongest_bins, heavy, least).withColumnRenamed("id", "node__")
+        shards = shards.join(groups.select("u", node.alias("n__")), F.col("node__") == F.col("n__")).select("shard", F.col("u").alias("id"))
     found = _search(shards, base, k, least, factor, block).distinct()
     rank, top = _best("id", "neighbour", k)
     found = found.withColumn("rank", rank).where(top)

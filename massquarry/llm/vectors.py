@@ -69,14 +69,14 @@ def as_binary(offsets: np.ndarray, bins: np.ndarray, weights: np.ndarray) -> pa.
     return pa.array([b[s:e].tobytes() + w[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
 
 
-def from_binary(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """offsets, bins, weights of vectors written by as_binary."""
-    n = np.array([len(r) // 12 for r in rows], np.int64)
+def from_binary(rows: list[bytes], kind: str = "<f8") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """offsets, bins, weights of vectors written by as_binary, or the like with weights of another kind."""
+    n = np.array([len(r) // (4 + np.dtype(kind).itemsize) for r in rows], np.int64)
     off = np.append(0, np.cumsum(n))
     b = np.empty(off[-1], np.int64)
     w = np.empty(off[-1])
     for k, r in enumerate(rows):
         c = n[k]
         b[off[k] : off[k + 1]] = np.frombuffer(r, "<i4", c)
-        w[off[k] : off[k + 1]] = np.frombuffer(r, "<f8", c, 4 * c)
+        w[off[k] : off[k + 1]] = np.frombuffer(r, kind, c, 4 * c)
     return off, b, w

@@ -183,6 +183,65 @@ def test_a_hot_key_leaves_a_batch_once():
     assert {min(x) for x in by.values() if len(x) == 2} == {0} and set().union(*(x for x in by.values() if len(x) == 2)) == set(range(400))
 
 
+def chance(n=40, copies=3):
+    """Groups of noisy spectra, each of which shares three strong peaks, and nothing else, with the next group."""
+    r, rows = np.random.default_rng(12), []
+    for g in range(n):
+        mz = np.concatenate([50.05 + 3 * g + np.arange(6), 300.05 + 16 * g + np.arange(16)])
+        for _ in range(copies):
+            it = np.concatenate([3 + 0.1 * r.random(6), 2.8 * np.ones(1), 2 + 0.3 * r.random(15)])
+            rows.append((len(rows), mz.tolist(), it.tolist(), 300.0))
+    return rows
+
+
+def shards_of(spark, rows):
+    _, off, b, w = binned(pa.array([x[1] for x in rows]), pa.array([x[2] for x in rows]))
+    df = spark.createDataFrame(list(zip(range(len(rows)), as_binary(off, b, w).to_pylist(), strict=True)), "id long, vector binary")
+    got = {}
+    for x in knn._by_links(df.unionByName(df.limit(5)).repartition(3), 7, 0.5, 0.75).collect():
+        got.setdefault(x.shard, set()).add(x.id)
+    return sorted(map(sorted, got.values()))
+
+
+def test_links_by_chance_do_not_chain_shards(spark):
+    rows = chance()
+    v = sparse(rows)
+    assert 0.1 < cos(v[0][0], v[3][0]) < 0.5 <= 0.75 < cos(v[0][0], v[1][0])
+    assert shards_of(spark, rows) == [[3 * g, 3 * g + 1, 3 * g + 2] for g in range(40)]
+    df = spark.createDataFrame(rows, "id long, mz array<double>, i array<double>, p double")
+    assert answers(knn.nearest(df, "id", "mz", "i")) == {i: top(v, i, 5, 0.75) for i in v}
+
+
+def test_similar_vectors_with_a_single_common_key_stay_together(spark):
+    """Two whose strongest bins have three in common only, but whose other bins agree; and many that share one key."""
+    mz = (100.05 + np.arange(30)).tolist()
+    pair = [(k, mz, [1.2] * 3 + [1.1 if 3 + 4 * k <= x < 7 + 4 * k else 1.0 for x in range(3, 30)], 1.0) for k in range(2)]
+    assert shards_of(spark, pair) == [[0, 1]]
+    hot = [(k, [50.05, 51.05, 52.05, *(100.05 + 10 * k + x for x in range(20))], [1.1] * 3 + [1.0] * 20, 1.0) for k in range(knn.HOT + 4)]
+    assert shards_of(spark, hot) == [list(range(knn.HOT + 4))]
+
+
+def test_small_groups_at_once_against_brute_force():
+    rows = spectra(30, 6, 12)
+    _, off, b, w = binned(pa.array([x[1] for x in rows]), pa.array([x[2] for x in rows]))
+    size = np.array([1, 2, 12, 7, len(rows) - 22])
+    group = np.repeat(np.arange(5), size)
+    vectors = as_binary(off, b, w)
+    struct = pa.StructArray.from_arrays([pa.array(group), pa.array(np.zeros(len(rows), np.int64)), pa.array(np.zeros(len(rows), np.int32))], ["shard", "leaf", "part"])
+    batch = pa.RecordBatch.from_arrays([struct, pa.array(np.arange(len(rows))), vectors], ["group", "id", "vector"])
+    v, want = sparse(rows), []
+    for i in range(len(rows)):
+        mine = {j: v[j] for j in np.flatnonzero(group == group[i]).tolist()}
+        want += [(int(group[i]), i, j, s) for j, s in top(mine, i, 3, 0.3)]
+    assert len(want) > 20
+    for step in (5, 1_000):
+        for small, portion in ((64, 4_000_000), (64, 50), (3, 1_000)):
+            out = list(knn._own_leaf(3, 0.3, 1.0, small, portion)(batch.slice(s, step) for s in range(0, len(rows), step)))
+            have = sorted(tuple(x.values()) for o in out for x in o.to_pylist())
+            assert [x[:3] for x in have] == [x[:3] for x in sorted(want)]
+            assert [x[3] for x in have] == pytest.approx([x[3] for x in sorted(want)], abs=2e-6)
+
+
 def test_empty_tables(spark):
     e = spark.createDataFrame([], "id long, mz array<double>, i array<double>, p double")
     assert knn.nearest(e, "id", "mz", "i").count() == 0
